@@ -34,11 +34,16 @@ class Chains:
 
 
 def pick_heirs(links: DataFrame) -> DataFrame:
-    """links (scope, id, parent; parent null for roots) with `is_heir`: whether the node is the least child of its
-    parent, if the parent has a row. Minima are combined before the shuffle, so a parent of a third of all rows is no burden."""
-    child = links.where("parent is not null").groupBy("scope", "parent").agg(F.min("id").alias("heir"))
+    """links (scope, id, parent; parent null for roots) with `is_heir`: whether its parent, if that has a row, goes on
+    in this node. The heir is the child of the highest `weight`, a column that links may have, then of the least id.
+    Any choice gives the same hierarchy; with the (possibly wrong) size of the subtree as weight, chains nest only
+    about log2(n) deep, and so few rounds of peeling are left. Maxima are combined before the shuffle, so a parent of
+    a third of all rows is no burden."""
+    weight = F.coalesce(F.col("weight").cast("double"), F.lit(0.0)) if "weight" in links.columns else F.lit(0.0)
+    child = links.where("parent is not null").groupBy("scope", "parent").agg(F.max(F.struct(weight.alias("w"), F.bitwise_not("id").alias("n"))).alias("top"))
     child = child.join(links.select("scope", F.col("id").alias("parent")), ["scope", "parent"], "left_semi")
-    joined = _spread(links).join(child.withColumn("spread", F.lit(0)), ["scope", "parent", "spread"], "left")
+    child = child.select("scope", "parent", F.lit(0).alias("spread"), F.bitwise_not("top.n").alias("heir"))
+    joined = _spread(links).join(child, ["scope", "parent", "spread"], "left")
     return joined.select("scope", "id", "parent", F.coalesce(F.col("id") == F.col("heir"), F.lit(False)).alias("is_heir"))
 
 
@@ -182,5 +187,6 @@ def descendants(tree: DataFrame) -> DataFrame:
 
 
 def resolve(links: DataFrame) -> Peeled:
-    """The peeled hierarchy of links (scope, id, parent): one row per node, parent null for a root."""
+    """The peeled hierarchy of links (scope, id, parent and, if wanted, weight): one row per node, parent null for a
+    root. An empty table gives an empty hierarchy; the caller drops rows whose id is null."""
     return peel(label_chains(pick_heirs(links)))

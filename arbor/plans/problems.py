@@ -19,7 +19,7 @@ ONE = -1
 
 
 def _keys(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    halos = keyed(read_table(spark, folder, FOREST), ["tree_node_index"], ["desc_node_index", "snapnum"])
+    halos = keyed(read_table(spark, folder, FOREST), ["tree_node_index"], ["desc_node_index", "snapnum", "branch_size"])
     cores = keyed(read_table(spark, folder, CORES), ["core_tag", "snapnum"], ["host_core", "central"])
     return halos, cores
 
@@ -71,11 +71,12 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def links(spark: SparkSession, folder: str) -> DataFrame:
-    """The links of problem 5: scope, id, parent of every key; the parent is null where the record names none."""
+    """The links of problem 5: scope, id, parent of every key; the parent is null where the record names none. The
+    stored branch_size, however wrong, only steers which child continues a chain."""
     halos, cores = _keys(spark, folder)
-    halos = halos.select(F.lit(ONE).alias("scope"), F.col("tree_node_index").alias("id"), F.when(F.col("desc_node_index") >= 0, F.col("desc_node_index")).alias("parent"))
+    halos = halos.select(F.lit(ONE).alias("scope"), F.col("tree_node_index").alias("id"), F.when(F.col("desc_node_index") >= 0, F.col("desc_node_index")).alias("parent"), F.col("branch_size").cast("double").alias("weight"))
     own = (F.coalesce("central", F.lit(0)) == 1) & (F.col("host_core") == F.col("core_tag"))
-    cores = cores.select(F.col("snapnum").cast("int").alias("scope"), F.col("core_tag").alias("id"), F.when((F.col("host_core") > 0) & ~own, F.col("host_core")).alias("parent"))
+    cores = cores.select(F.col("snapnum").cast("int").alias("scope"), F.col("core_tag").alias("id"), F.when((F.col("host_core") > 0) & ~own, F.col("host_core")).alias("parent"), F.lit(0.0).alias("weight"))
     return cut(halos.unionByName(cores), "links")
 
 
