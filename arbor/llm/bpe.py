@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Folder of the vocabulary files; a parameter of every operator here.
 TOKENIZERS = "/opt/tokenizers"
@@ -92,7 +93,7 @@ class Encoder:
         word = np.repeat(np.arange(len(new), dtype=np.int64), lens)
         pos = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
         self.db.register("stretches", pa.table({"word": word, "pos": pos, "tok": flat}))
-        ids = self.db.execute(CONTRACT).fetch_arrow_table().column("ids").to_pylist()
+        ids = self.db.execute(CONTRACT).to_arrow_table().column("ids").to_pylist()
         self.known.update(zip(new, ids))
 
     def learn(self, chunks: list[str]) -> None:
@@ -189,5 +190,5 @@ def encode(df: DataFrame, text: str, keep: list[str], tokenizers: str = TOKENIZE
                 last = pa.array(np.diff(bounds)) if count_only else pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], last], names=[*keep, "n_tokens" if count_only else "ids"])
 
-    schema = df.select(*keep).schema.add("n_tokens", "long") if count_only else df.select(*keep).schema.add("ids", "array<int>")
+    schema = df.select(*keep).schema.add("n_tokens", T.LongType()) if count_only else df.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType()))
     return chosen.mapInArrow(run, schema)

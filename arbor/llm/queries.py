@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.records import keyed
 from ..plans.cut import cut
 from ..sources.tables import read_table
-from . import bpe, mixing, packing, quantiles, topn
+from . import bpe, mixing, mojibake, packing, quantiles, topn
 
 PERCENTS = [1, 5, 25, 50, 75, 95, 99]
 
@@ -100,7 +100,22 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.shares(*_mixture(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_top, p3_found, p3_chunks, p3_fill, p3_trees, p6_percentiles, p6_days, p7_ids, p8_drawn, p8_shares)}
+def _garbled(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return mojibake.find(docs, "text", ["doc_id"], mojibake.train(docs, "text"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a passage that was decoded with a wrong character encoding."""
+    return _garbled(spark, folder).select("doc_id")
+
+
+def p9_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """Their texts as restored, the chains undone, what these gained, and whether characters stay lost."""
+    return _garbled(spark, folder)
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_top, p3_found, p3_chunks, p3_fill, p3_trees, p6_percentiles, p6_days, p7_ids, p8_drawn, p8_shares, p9_found, p9_restored)}
 
 _LATEST = "r AS (SELECT tree_node_index AS t, max(struct_pack(a := loaded_at, d := desc_node_index, m := tree_node_mass, b := branch_size)) AS x FROM forest WHERE tree_node_index IS NOT NULL GROUP BY 1)"
 _RANKED = f"""WITH {_LATEST}, k AS (SELECT x.d AS desc_node_index, t AS tree_node_index, CAST(x.m AS DOUBLE) AS tree_node_mass,
