@@ -16,8 +16,8 @@ def parent_tag(tag: Column) -> Column:
 
 
 def fragment_index(tag: Column) -> Column:
-    """The fragment index of a packed tag, 0 for a tag that isn't negative."""
-    return F.when(tag < 0, F.shiftright(-tag, FRAGMENT_BITS)).otherwise(F.lit(0)).cast("long")
+    """The fragment index of a packed tag, 0 for a tag that isn't negative, null for none."""
+    return F.when(tag < 0, F.shiftright(-tag, FRAGMENT_BITS)).when(tag >= 0, F.lit(0)).cast("long")
 
 
 def unique_id(replication: Column, tag: Column) -> Column:

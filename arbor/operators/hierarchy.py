@@ -129,54 +129,75 @@ def _entries(peeled: Peeled) -> DataFrame:
     return peeled.residual.groupBy("scope", F.col("pchain").alias("chain")).agg(F.max("at").alias("entry"))
 
 
-def hierarchy(peeled: Peeled, with_path: bool = True) -> DataFrame:
-    """Per node not on a loop: scope, id, root, depth, path (ids from the root to the node) and n_descendants. Nodes
-    that lead into a loop have null root, depth and path, but their descendants count. Nodes on loops have no row.
+def chain_facts(peeled: Peeled, with_path: bool = True, gaps: DataFrame | None = None) -> DataFrame:
+    """scope, chain and what its top knows: root, base (its depth), prefix (ids from the root to the node that the chain
+    hangs on), and pos, the sum of the `gaps` (scope, chain, gap) of the chain and of those above it.
 
-    In reverse peel order each chain gets its root, its depth and the path to it from the chain it hangs on, whose
-    facts are known by then. The steps of a chain are one array, as long as the chain is deep.
+    In reverse peel order each chain learns this from the chain it hangs on, whose facts are known by then. Chains that
+    lead into a loop, and residual ones, have nulls. The steps of a chain are one array, as long as the chain is deep.
     """
     nodes = peeled.chains.nodes
-    none = {"root": F.lit(None).cast("long"), "base": F.lit(None).cast("long")} | ({"prefix": F.lit(None).cast("array<bigint>")} if with_path else {})
-    named = lambda cols: [c.alias(k) for k, c in cols.items()]
+    long = lambda x=None: F.lit(x).cast("long")
+    none = {"root": long(), "base": long()} | ({"prefix": F.lit(None).cast("array<bigint>")} if with_path else {}) | ({"pos": long()} if gaps is not None else {})
+    named = lambda cols: [cols[k].alias(k) for k in none]
     key = ["scope", "chain"]
-    hung = None
-    for r in peeled.rounds:
-        part = r.where("pchain is not null").select("scope", F.col("pchain").alias("chain"), F.col("at").alias("d"), "total")
-        hung = part if hung is None else hung.unionByName(part)
-    steps = None
-    if with_path:
-        steps = nodes.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("d", "id"))).alias("steps"))
-        steps = cut(steps.select(*key, F.col("steps.id").alias("steps")), "steps")
+    steps = chain_steps(peeled) if with_path else None
     looped = peeled.chains.loops.select("scope", F.col("id").alias("parent"), F.lit(0).alias("spread"), F.lit(True).alias("on_loop"))
-    known = nodes.limit(0).select(*key, *named(none))
-    if peeled.residual is not None:
-        known = peeled.residual.select(*key, *named(none))
+    known = (nodes.limit(0) if peeled.residual is None else peeled.residual).select(*key, *named(none))
     for leaves in reversed(peeled.rounds):
         own = leaves.select(*key, "parent", "pchain", "at")
         tops = _spread(own.where("pchain is null"), "chain").join(looped, ["scope", "parent", "spread"], "left")
         free = F.col("on_loop").isNull()
-        facts = {"root": F.when(free, F.col("chain")), "base": F.when(free, F.lit(0)).cast("long"), "prefix": F.when(free, F.array().cast("array<bigint>"))}
-        given = own.where("pchain is not null").join(known.withColumnRenamed("chain", "pchain"), ["scope", "pchain"], "left")
+        top = {"root": F.when(free, F.col("chain")), "base": F.when(free, long(0)), "prefix": F.when(free, F.array().cast("array<bigint>")), "pos": F.when(free, long(0))}
+        hung = own.where("pchain is not null")
+        if gaps is not None:
+            hung = hung.join(gaps, key)
+        given = hung.join(known.withColumnRenamed("chain", "pchain"), ["scope", "pchain"], "left")
         onto = {"root": F.col("root"), "base": F.col("base") + F.col("at") + 1}
+        if gaps is not None:
+            onto["pos"] = F.col("pos") + F.col("gap")
         if with_path:
             given = given.join(steps.withColumnRenamed("chain", "pchain"), ["scope", "pchain"], "left")
             onto["prefix"] = F.concat("prefix", F.expr("slice(steps, 1, cast(at + 1 as int))"))
-        new = tops.select(*key, *named({k: facts[k] for k in none})).unionByName(given.select(*key, *named(onto)))
+        new = tops.select(*key, *named(top)).unionByName(given.select(*key, *named(onto)))
         before, known = known, cut(known.unionByName(new), "facts")
         if leaves is not peeled.rounds[-1]:
             drop(before)
-    sized = nodes.withColumn("hung", F.lit(None).cast("long"))
+    return known
+
+
+def chain_steps(peeled: Peeled) -> DataFrame:
+    """scope, chain and steps, the ids of its nodes from the top down."""
+    steps = peeled.chains.nodes.groupBy("scope", "chain").agg(F.array_sort(F.collect_list(F.struct("d", "id"))).alias("steps"))
+    return cut(steps.select("scope", "chain", F.col("steps.id").alias("steps")), "steps")
+
+
+def subtree_sizes(peeled: Peeled) -> DataFrame:
+    """scope, id, chain, d, n_descendants of each node of a chain: those below it in the chain and in what hangs there.
+    Chains that hang on a residual loop chain at or above its entry aren't summed further up."""
+    key = ["scope", "chain"]
+    hung = None
+    for r in peeled.rounds:
+        part = r.where("pchain is not null").select("scope", F.col("pchain").alias("chain"), F.col("at").alias("d"), "total")
+        hung = part if hung is None else hung.unionByName(part)
+    sized = peeled.chains.nodes.withColumn("hung", F.lit(None).cast("long"))
     if hung is not None:
-        sized = nodes.join(hung.groupBy(*key, "d").agg(F.sum("total").alias("hung")), [*key, "d"], "left")
+        sized = peeled.chains.nodes.join(hung.groupBy(*key, "d").agg(F.sum("total").alias("hung")), [*key, "d"], "left")
     below = Window.partitionBy(*key).orderBy(F.col("d").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    sized = sized.select(*KEY, "chain", "d", (F.sum(F.lit(1) + F.coalesce("hung", F.lit(0))).over(below) - 1).alias("n_descendants"))
-    out = sized.join(known, key)
+    return sized.select(*KEY, "chain", "d", (F.sum(F.lit(1) + F.coalesce("hung", F.lit(0))).over(below) - 1).alias("n_descendants"))
+
+
+def hierarchy(peeled: Peeled, with_path: bool = True) -> DataFrame:
+    """Per node not on a loop: scope, id, root, depth, path (ids from the root to the node) and n_descendants. Nodes
+    that lead into a loop have null root, depth and path, but their descendants count. Nodes on loops have no row."""
+    key = ["scope", "chain"]
+    out = subtree_sizes(peeled).join(chain_facts(peeled, with_path), key)
     if peeled.residual is not None:
         out = out.join(_entries(peeled), key, "left").where("entry is null or d > entry")
+    path = []
     if with_path:
-        out = out.join(steps, key)
-    path = [F.concat("prefix", F.expr("slice(steps, 1, cast(d + 1 as int))")).alias("path")] if with_path else []
+        out = out.join(chain_steps(peeled), key)
+        path = [F.concat("prefix", F.expr("slice(steps, 1, cast(d + 1 as int))")).alias("path")]
     return out.select(*KEY, "root", (F.col("base") + F.col("d")).alias("depth"), *path, "n_descendants")
 
 
