@@ -13,10 +13,10 @@ def keyed(df: DataFrame, keys: list[str], values: list[str], at: str = "loaded_a
     """One row per key: `values` of the record (the row with the latest `at`) and `arrival`, the earliest `at`.
 
     Rows with a null in a key are dropped. Rows equal in `at` are taken to be identical; if they are not, one of
-    them is taken whole. A null `at` counts as before any other. Every aggregate holds fixed-width values, so Spark
+    them is taken whole. A null `at` counts as before any other; a key with no other has a null arrival. Every aggregate holds fixed-width values, so Spark
     hashes and combines before the shuffle, and a key that holds a third of all rows costs one row per task.
     """
     when = F.coalesce(F.col(at), F.lit(NO_TIME).cast("timestamp_ntz" if dict(df.dtypes)[at] == "timestamp_ntz" else "timestamp"))
     there = df.where(F.expr(" and ".join(f"`{k}` is not null" for k in keys)))
-    picked = there.select(*keys, *values, when.alias("__at"))
-    return picked.groupBy(*keys).agg(*(F.max_by(v, "__at").alias(v) for v in values), F.min("__at").alias("arrival"))
+    picked = there.select(*keys, *values, when.alias("__at"), F.col(at).alias("__came"))
+    return picked.groupBy(*keys).agg(*(F.max_by(v, "__at").alias(v) for v in values), F.min("__came").alias("arrival"))
