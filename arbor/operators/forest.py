@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..plans.cut import cut
-from .hierarchy import chain_facts, label_chains, peel, pick_heirs, subtree_sizes
+from .hierarchy import chain_facts, chain_steps, label_chains, peel, pick_heirs
 from .prefix import exclusive_sum, falling_bin
 
 
@@ -62,12 +62,13 @@ def build(catalog: DataFrame) -> Forest:
     placed = exclusive_sum(merging, ["pchain"], [F.col("head_snap"), falling_bin(F.col("head_mass"))], [F.col("head_mass").desc(), F.col("chain")], F.col("total"), "before")
     lengths = table.select(F.col("chain").alias("pchain"), F.col("length").alias("plength"))
     gaps = placed.join(lengths, "pchain").select("scope", "chain", (F.col("before") + F.col("plength")).alias("gap"))
-    facts = chain_facts(peeled, True, cut(gaps, "gaps"))
+    steps = chain_steps(peeled)
+    facts = chain_facts(peeled, steps, cut(gaps, "gaps"))
     known = table.join(facts.drop("scope"), "chain")
     branches = cut(known.select(F.col("chain").alias("branch"), "root", F.col("pchain").alias("pbranch"), "at", "head_snap", "head_mass", "length", "total", "base", "pos", "prefix"), "branches")
-    sized = subtree_sizes(peeled).select("id", F.col("chain").alias("branch"), "d", (F.col("n_descendants") + 1).alias("size"))
-    nodes = halos.join(sized, "id").join(branches.select("branch", "root", "pbranch", "at", "base", "pos"), "branch")
-    nodes = nodes.select("id", "desc", "snapnum", "mass", "branch", "d", "root", (F.col("base") + F.col("d")).alias("depth"), "size", (F.col("pos") + F.col("d")).alias("idx"), "pbranch", "at")
+    places = steps.drop("scope").withColumnRenamed("chain", "branch").join(branches.select("branch", "root", "pbranch", "at", "base", "pos"), "branch").select("*", F.posexplode("steps").alias("k", "s"))
+    sized = places.select("branch", "root", "pbranch", "at", "base", "pos", F.col("k").cast("long").alias("d"), F.col("s.id").alias("id"), (F.col("s.n_descendants") + 1).alias("size"))
+    nodes = halos.join(sized, "id").select("id", "desc", "snapnum", "mass", "branch", "d", "root", (F.col("base") + F.col("d")).alias("depth"), "size", (F.col("pos") + F.col("d")).alias("idx"), "pbranch", "at")
     return Forest(cut(nodes, "forest"), branches.drop("base", "pos"))
 
 

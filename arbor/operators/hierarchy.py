@@ -25,7 +25,7 @@ KEY = ["scope", "id"]
 
 @dataclass
 class Chains:
-    """nodes: scope, id, parent, chain (id of the chain's topmost node), d (steps from it); nodes of a loop made of
+    """nodes: scope, id, parent, note (what the caller gave), chain (id of the chain's topmost node), d (steps from it); nodes of a loop made of
     heirs only are in `loops` instead. Nodes and loops together are all nodes."""
 
     nodes: DataFrame
@@ -43,8 +43,9 @@ def pick_heirs(links: DataFrame) -> DataFrame:
     child = links.where("parent is not null").groupBy("scope", "parent").agg(F.max(F.struct(weight.alias("w"), F.bitwise_not("id").alias("n"))).alias("top"))
     child = child.join(links.select("scope", F.col("id").alias("parent")), ["scope", "parent"], "left_semi")
     child = child.select("scope", "parent", F.lit(0).alias("spread"), F.bitwise_not("top.n").alias("heir"))
-    joined = _spread(links).join(child, ["scope", "parent", "spread"], "left")
-    return joined.select("scope", "id", "parent", F.coalesce(F.col("id") == F.col("heir"), F.lit(False)).alias("is_heir"))
+    note = F.col("note") if "note" in links.columns else F.lit(None).cast("int")
+    joined = _spread(links.withColumn("note", note)).join(child, ["scope", "parent", "spread"], "left")
+    return joined.select("scope", "id", "parent", "note", F.coalesce(F.col("id") == F.col("heir"), F.lit(False)).alias("is_heir"))
 
 
 def _spread(df: DataFrame, node: str = "id") -> DataFrame:
@@ -59,21 +60,19 @@ def label_chains(heirs: DataFrame) -> Chains:
     this ancestor for its own. A chain of length n is labelled after log2(n) rounds; a round in which no node gets
     done shows that all open ones lie on loops of heirs.
     """
-    start = heirs.select(*KEY, "parent", F.when(F.col("is_heir"), F.col("parent")).otherwise(F.col("id")).alias("anc"), F.when(F.col("is_heir"), 1).otherwise(0).cast("long").alias("d"), (~F.col("is_heir")).alias("done"))
-    table, seen = cut(start, "chains", open=active(~F.col("done")))
-    open_now = seen["open"]
+    start = heirs.select(*KEY, "parent", "note", F.when(F.col("is_heir"), F.col("parent")).otherwise(F.col("id")).alias("anc"), F.when(F.col("is_heir"), 1).otherwise(0).cast("long").alias("d"), (~F.col("is_heir")).alias("done"))
+    part, seen = cut(start, "chains", open=active(~F.col("done")))
+    done, todo, open_now = part.where("done"), part.where("not done"), seen["open"]
     while open_now:
-        goal = table.select("scope", F.col("id").alias("anc"), F.col("anc").alias("anc2"), F.col("d").alias("d2"), F.col("done").alias("done2"))
-        todo = table.where("not done").join(goal, ["scope", "anc"])
-        moved = todo.select(*KEY, "parent", F.col("anc2").alias("anc"), (F.col("d") + F.col("d2")).alias("d"), F.col("done2").alias("done"))
-        before = table
-        table, seen = cut(table.where("done").unionByName(moved), "chains", open=active(~F.col("done")))
-        drop(before)
+        goal = done.unionByName(todo).select("scope", F.col("id").alias("anc"), F.col("anc").alias("anc2"), F.col("d").alias("d2"), F.col("done").alias("done2"))
+        moved = todo.join(goal, ["scope", "anc"]).select(*KEY, "parent", "note", F.col("anc2").alias("anc"), (F.col("d") + F.col("d2")).alias("d"), F.col("done2").alias("done"))
+        part, seen = cut(moved, "chains", open=active(~F.col("done")))
+        done, todo = done.unionByName(part.where("done")), part.where("not done")
         if seen["open"] == open_now:
             break
         open_now = seen["open"]
-    nodes = table.where("done").select(*KEY, "parent", F.col("anc").alias("chain"), "d")
-    return Chains(nodes, table.where("not done").select(*KEY, "parent"), open_now)
+    nodes = done.select(*KEY, "parent", "note", F.col("anc").alias("chain"), "d")
+    return Chains(nodes, todo.select(*KEY, "parent", "note"), open_now)
 
 
 @dataclass
@@ -116,12 +115,12 @@ def peel(chains: Chains) -> Peeled:
 
 
 def loop_nodes(peeled: Peeled) -> DataFrame:
-    """scope, id of each node on a loop itself. A residual chain has exactly one residual child, which hangs at its
+    """scope, id, note of each node on a loop itself. A residual chain has exactly one residual child, which hangs at its
     step `at`; the loop runs from there up to the chain's top, so deeper nodes only lead into it."""
-    loops = peeled.chains.loops.select(*KEY)
+    loops = peeled.chains.loops.select(*KEY, "note")
     if peeled.residual is None:
         return loops
-    inside = peeled.chains.nodes.join(_entries(peeled), ["scope", "chain"]).where("d <= entry").select(*KEY)
+    inside = peeled.chains.nodes.join(_entries(peeled), ["scope", "chain"]).where("d <= entry").select(*KEY, "note")
     return loops.unionByName(inside)
 
 
@@ -129,19 +128,18 @@ def _entries(peeled: Peeled) -> DataFrame:
     return peeled.residual.groupBy("scope", F.col("pchain").alias("chain")).agg(F.max("at").alias("entry"))
 
 
-def chain_facts(peeled: Peeled, with_path: bool = True, gaps: DataFrame | None = None) -> DataFrame:
-    """scope, chain and what its top knows: root, base (its depth), prefix (ids from the root to the node that the chain
-    hangs on), and pos, the sum of the `gaps` (scope, chain, gap) of the chain and of those above it.
+def chain_facts(peeled: Peeled, steps: DataFrame | None = None, gaps: DataFrame | None = None) -> DataFrame:
+    """scope, chain and what its top knows: root, base (its depth), with `steps` (see chain_steps) prefix, the ids from
+    the root to the node that the chain hangs on, and with `gaps` pos, the sum of the `gaps` (scope, chain, gap) of the chain and of those above it.
 
     In reverse peel order each chain learns this from the chain it hangs on, whose facts are known by then. Chains that
-    lead into a loop, and residual ones, have nulls. The steps of a chain are one array, as long as the chain is deep.
+    lead into a loop, and residual ones, have nulls.
     """
-    nodes = peeled.chains.nodes
+    nodes, with_path = peeled.chains.nodes, steps is not None
     long = lambda x=None: F.lit(x).cast("long")
     none = {"root": long(), "base": long()} | ({"prefix": F.lit(None).cast("array<bigint>")} if with_path else {}) | ({"pos": long()} if gaps is not None else {})
     named = lambda cols: [cols[k].alias(k) for k in none]
     key = ["scope", "chain"]
-    steps = chain_steps(peeled) if with_path else None
     looped = peeled.chains.loops.select("scope", F.col("id").alias("parent"), F.lit(0).alias("spread"), F.lit(True).alias("on_loop"))
     known = (nodes.limit(0) if peeled.residual is None else peeled.residual).select(*key, *named(none))
     for leaves in reversed(peeled.rounds):
@@ -158,7 +156,7 @@ def chain_facts(peeled: Peeled, with_path: bool = True, gaps: DataFrame | None =
             onto["pos"] = F.col("pos") + F.col("gap")
         if with_path:
             given = given.join(steps.withColumnRenamed("chain", "pchain"), ["scope", "pchain"], "left")
-            onto["prefix"] = F.concat("prefix", F.expr("slice(steps, 1, cast(at + 1 as int))"))
+            onto["prefix"] = F.concat("prefix", F.slice("steps.id", F.lit(1), (F.col("at") + 1).cast("int")))
         new = tops.select(*key, *named(top)).unionByName(given.select(*key, *named(onto)))
         before, known = known, cut(known.unionByName(new), "facts")
         if leaves is not peeled.rounds[-1]:
@@ -167,38 +165,40 @@ def chain_facts(peeled: Peeled, with_path: bool = True, gaps: DataFrame | None =
 
 
 def chain_steps(peeled: Peeled) -> DataFrame:
-    """scope, chain and steps, the ids of its nodes from the top down."""
-    steps = peeled.chains.nodes.groupBy("scope", "chain").agg(F.array_sort(F.collect_list(F.struct("d", "id"))).alias("steps"))
-    return cut(steps.select("scope", "chain", F.col("steps.id").alias("steps")), "steps")
+    """scope, chain and steps (id, note, n_descendants), its nodes from the top down: one array per chain, as long as the
+    chain is deep. A table in the shared folder."""
+    rows = subtree_sizes(peeled).groupBy("scope", "chain").agg(F.array_sort(F.collect_list(F.struct("d", "id", "note", "n_descendants"))).alias("steps"))
+    return cut(rows, "steps")
 
 
 def subtree_sizes(peeled: Peeled) -> DataFrame:
-    """scope, id, chain, d, n_descendants of each node of a chain: those below it in the chain and in what hangs there.
-    Chains that hang on a residual loop chain at or above its entry aren't summed further up."""
-    key = ["scope", "chain"]
-    hung = None
+    """scope, id, note, chain, d, n_descendants of each node of a chain: those below it in the chain and in what hangs
+    there. What hangs at one step is summed before the shuffle; the running sum goes along chains, from the bottom."""
+    rows = peeled.chains.nodes.select("scope", "chain", "d", "id", "note", F.lit(1).cast("long").alias("n"))
     for r in peeled.rounds:
-        part = r.where("pchain is not null").select("scope", F.col("pchain").alias("chain"), F.col("at").alias("d"), "total")
-        hung = part if hung is None else hung.unionByName(part)
-    sized = peeled.chains.nodes.withColumn("hung", F.lit(None).cast("long"))
-    if hung is not None:
-        sized = peeled.chains.nodes.join(hung.groupBy(*key, "d").agg(F.sum("total").alias("hung")), [*key, "d"], "left")
-    below = Window.partitionBy(*key).orderBy(F.col("d").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return sized.select(*KEY, "chain", "d", (F.sum(F.lit(1) + F.coalesce("hung", F.lit(0))).over(below) - 1).alias("n_descendants"))
+        hung = r.where("pchain is not null").groupBy("scope", F.col("pchain").alias("chain"), F.col("at").alias("d")).agg(F.sum("total").alias("n"))
+        rows = rows.unionByName(hung.select("scope", "chain", "d", F.lit(None).cast("long").alias("id"), F.lit(None).cast("int").alias("note"), "n"))
+    below = Window.partitionBy("scope", "chain").orderBy(F.col("d").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("n_descendants", F.sum("n").over(below) - 1).where("id is not null").select(*KEY, "note", "chain", "d", "n_descendants")
 
 
 def hierarchy(peeled: Peeled, with_path: bool = True) -> DataFrame:
-    """Per node not on a loop: scope, id, root, depth, path (ids from the root to the node) and n_descendants. Nodes
-    that lead into a loop have null root, depth and path, but their descendants count. Nodes on loops have no row."""
-    key = ["scope", "chain"]
-    out = subtree_sizes(peeled).join(chain_facts(peeled, with_path), key)
-    if peeled.residual is not None:
-        out = out.join(_entries(peeled), key, "left").where("entry is null or d > entry")
+    """Per node not on a loop: scope, id, note, root, depth, path (ids from the root to the node) and n_descendants. Nodes
+    that lead into a loop have null root, depth and path, but their descendants count. Nodes on loops have no row.
+
+    Facts and steps are joined per chain and only then spread over its nodes, so no path is ever shuffled."""
+    steps = chain_steps(peeled)
+    chains = steps.join(chain_facts(peeled, steps if with_path else None), ["scope", "chain"])
     path = []
     if with_path:
-        out = out.join(chain_steps(peeled), key)
-        path = [F.concat("prefix", F.expr("slice(steps, 1, cast(d + 1 as int))")).alias("path")]
-    return out.select(*KEY, "root", (F.col("base") + F.col("d")).alias("depth"), *path, "n_descendants")
+        chains = chains.withColumn("ids", F.col("steps.id"))
+        path = [F.concat("prefix", F.slice("ids", F.lit(1), F.col("k") + 1)).alias("path")]
+    if peeled.residual is not None:
+        chains = chains.join(_entries(peeled), ["scope", "chain"], "left")
+    rows = chains.select("*", F.posexplode("steps").alias("k", "s"))
+    if peeled.residual is not None:
+        rows = rows.where("entry is null or k > entry")
+    return rows.select("scope", "s.id", "s.note", "root", (F.col("base") + F.col("k")).alias("depth"), *path, "s.n_descendants")
 
 
 def descendants(tree: DataFrame) -> DataFrame:
@@ -208,6 +208,7 @@ def descendants(tree: DataFrame) -> DataFrame:
 
 
 def resolve(links: DataFrame) -> Peeled:
-    """The peeled hierarchy of links (scope, id, parent and, if wanted, weight): one row per node, parent null for a
+    """The peeled hierarchy of links (scope, id, parent and, if wanted, weight and a whole number note, which comes out
+    with the node): one row per node, parent null for a
     root. An empty table gives an empty hierarchy; the caller drops rows whose id is null."""
     return peel(label_chains(pick_heirs(links)))

@@ -74,28 +74,25 @@ def links(spark: SparkSession, folder: str) -> DataFrame:
     """The links of problem 5: scope, id, parent of every key; the parent is null where the record names none. The
     stored branch_size, however wrong, only steers which child continues a chain."""
     halos, cores = _keys(spark, folder)
-    halos = halos.select(F.lit(ONE).alias("scope"), F.col("tree_node_index").alias("id"), F.when(F.col("desc_node_index") >= 0, F.col("desc_node_index")).alias("parent"), F.col("branch_size").cast("double").alias("weight"))
+    halos = halos.select(F.lit(ONE).alias("scope"), F.col("tree_node_index").alias("id"), F.when(F.col("desc_node_index") >= 0, F.col("desc_node_index")).alias("parent"), F.col("branch_size").cast("double").alias("weight"), F.col("snapnum").cast("int").alias("note"))
     own = (F.coalesce("central", F.lit(0)) == 1) & (F.col("host_core") == F.col("core_tag"))
-    cores = cores.select(F.col("snapnum").cast("int").alias("scope"), F.col("core_tag").alias("id"), F.when((F.col("host_core") > 0) & ~own, F.col("host_core")).alias("parent"), F.lit(0.0).alias("weight"))
+    cores = cores.select(F.col("snapnum").cast("int").alias("scope"), F.col("core_tag").alias("id"), F.when((F.col("host_core") > 0) & ~own, F.col("host_core")).alias("parent"), F.lit(0.0).alias("weight"), F.col("snapnum").cast("int").alias("note"))
     return cut(halos.unionByName(cores), "links")
 
 
-def _named(df: DataFrame, spark: SparkSession, folder: str, id_: str, *rest: str) -> DataFrame:
-    """scope and id as origin_table, snapnum and key; a halo's snapshot is that of its record."""
-    halos = keyed(read_table(spark, folder, FOREST), ["tree_node_index"], ["snapnum"]).select(F.col("tree_node_index").alias(id_), F.col("snapnum").cast("int").alias("snapnum"))
-    a = df.where(F.col("scope") == ONE).join(halos, id_).select(F.lit(FOREST).alias("origin_table"), "snapnum", F.col(id_).alias("key_id"), *rest)
-    b = df.where(F.col("scope") != ONE).select(F.lit(CORES).alias("origin_table"), F.col("scope").alias("snapnum"), F.col(id_).alias("key_id"), *rest)
-    return a.unionByName(b)
+def _named(df: DataFrame, *rest: str) -> DataFrame:
+    """scope, id and note as origin_table, snapnum and key_id; a halo's snapshot is that of its record."""
+    return df.select(F.when(F.col("scope") == ONE, FOREST).otherwise(CORES).alias("origin_table"), F.col("note").alias("snapnum"), F.col("id").alias("key_id"), *rest)
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Each key that lies on a loop."""
-    return _named(loop_nodes(resolve(links(spark, folder))), spark, folder, "id")
+    return _named(loop_nodes(resolve(links(spark, folder))))
 
 
 def p5_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Root, depth, path and number of descendants of each key that isn't on a loop."""
-    return _named(hierarchy(resolve(links(spark, folder))), spark, folder, "id", "root", "depth", "path", "n_descendants")
+    return _named(hierarchy(resolve(links(spark, folder))), "root", "depth", "path", "n_descendants")
 
 
 def p5_descendants(spark: SparkSession, folder: str) -> DataFrame:
