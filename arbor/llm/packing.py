@@ -48,10 +48,11 @@ def pack(items: DataFrame, item: str, size: str, layouts: DataFrame, layout: str
     there = items.select(F.col(item).alias("item"), F.col(size).cast("long").alias("size")).where("item is not null and size > 0")
     total = there.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     kinds = F.array(*(F.struct(F.lit(a).alias("layout"), F.lit(c).cast("long").alias("capacity"), F.lit(max(1, round(total / (c * PER_BLOCK)))).cast("long").alias("blocks")) for a, c in shapes)) if shapes else F.expr("array()").cast("array<struct<layout:string,capacity:bigint,blocks:bigint>>")
-    each = there.withColumn("kind", F.explode(kinds)).select("item", "size", "kind.*").withColumns({"full": F.expr("size div capacity"), "rest": F.expr("size % capacity")})
+    copies = there.groupBy("item", "size").agg(F.count("*").alias("copies")).select("item", "size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+    each = copies.withColumn("kind", F.explode(kinds)).select("item", "size", "copy", "kind.*").withColumns({"full": F.expr("size div capacity"), "rest": F.expr("size % capacity")})
     pieces = F.col("full") + (F.col("rest") > 0).cast("long")
-    full = each.where("full > 0").select("layout", "item", F.explode(F.sequence(F.lit(1).cast("long"), F.col("full"))).alias("piece"), pieces.alias("n_pieces"), F.col("capacity").alias("size"))
-    full = full.withColumn("container", F.concat(F.lit("t"), F.col("item").cast("string"), F.lit("-"), F.col("piece").cast("string")))
+    full = each.where("full > 0").select("layout", "item", "copy", F.col("size").alias("whole"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("full"))).alias("piece"), pieces.alias("n_pieces"), F.col("capacity").alias("size"))
+    full = full.withColumn("container", F.concat_ws("-", F.lit("t"), "item", "whole", "copy", "piece"))
     rest = each.where("rest > 0").select("layout", "item", pieces.alias("piece"), pieces.alias("n_pieces"), F.col("rest").alias("size"), "capacity", F.pmod(F.xxhash64("layout", "item"), F.col("blocks")).alias("block"))
 
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
