@@ -82,6 +82,13 @@ def progenitor_count(nodes: DataFrame) -> DataFrame:
     return nodes.join(n, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("progenitor_count"))
 
 
+def progenitors(nodes: DataFrame) -> DataFrame:
+    """id, place (from 0), progenitor: the progenitors of each halo as places in its tree, in their order. Long form, as a
+    halo may have any number of them."""
+    rows = nodes.where("desc is not null").select(F.col("desc").alias("id"), F.col("idx").alias("progenitor"))
+    return exclusive_sum(rows, ["id"], [F.shiftright("progenitor", 12)], [F.col("progenitor")], F.lit(1), "place").select("id", "place", "progenitor")
+
+
 def csr_offsets(nodes: DataFrame) -> DataFrame:
     """root, idx, id, progenitor_count, progenitor_offset: the exclusive running count in the tree's order."""
     rows = nodes.select("root", "idx", "id").join(progenitor_count(nodes), "id")
@@ -103,10 +110,15 @@ def nth_progenitor(nodes: DataFrame, n: int) -> DataFrame:
     return nodes.where("desc is not null").select("desc", "id", "mass", F.row_number().over(best).alias("k")).where(F.col("k") <= n).where(F.col("k") == n).drop("k")
 
 
-def subtrees(nodes: DataFrame, targets: DataFrame) -> DataFrame:
-    """target, and the nodes of its subtree: those of its tree at places idx to idx + size - 1."""
-    of = nodes.join(targets.select("id"), "id", "left_semi").select(F.col("id").alias("target"), "root", F.col("idx").alias("lo"), (F.col("idx") + F.col("size")).alias("hi"))
-    return nodes.join(of, "root").where("idx >= lo and idx < hi").drop("hi").withColumn("place", F.col("idx") - F.col("lo")).drop("lo")
+def subtrees(nodes: DataFrame, targets: DataFrame, width: int = 6) -> DataFrame:
+    """target, place (in its subtree), and the nodes there: those of its tree from idx on, size of them.
+
+    A range join in blocks of 2^width places: each target is repeated for the blocks it reaches, so halos meet the targets
+    above them and few others, however many targets a tree has."""
+    of = nodes.join(targets.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("target"), "root", F.col("idx").alias("lo"), (F.col("idx") + F.col("size")).alias("hi"))
+    of = of.withColumn("block", F.explode(F.sequence(F.shiftright("lo", width), F.shiftright(F.col("hi") - 1, width))))
+    near = nodes.withColumn("block", F.shiftright("idx", width)).join(of, ["root", "block"])
+    return near.where("idx >= lo and idx < hi").drop("hi", "block").withColumn("place", F.col("idx") - F.col("lo")).drop("lo")
 
 
 def pruned(forest: Forest, threshold: float) -> DataFrame:

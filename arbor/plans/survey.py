@@ -151,9 +151,7 @@ def descendant_idx(spark, folder):
 
 
 def progenitor_csr(spark, folder):
-    n = _nodes(spark, folder)
-    listed = n.where("desc is not null").groupBy(F.col("desc").alias("id")).agg(F.array_sort(F.collect_list("idx")).alias("progenitors"))
-    return listed
+    return fo.progenitors(_nodes(spark, folder))
 
 
 def csr_offsets(spark, folder):
@@ -358,7 +356,7 @@ SELECT id, round(CASE WHEN sm > 0 THEN sqrt(dx * dx + dy * dy + dz * dz) / sr EL
     "orphans_anti": f"{_CAT} SELECT c.id, c.dsc AS desc, c.snapnum FROM cat c JOIN hal h USING (id) WHERE c.dsc >= 0 AND h.dsc IS NULL",
     "orphans_to_roots": f"{_CAT} SELECT snapnum, count(*) AS n, count(*) FILTER (dsc IS NULL) AS n_roots FROM hal GROUP BY 1",
     "descendant_idx": f"{_TREE} SELECT n.id, n.root, n.idx, coalesce(p.idx, -1) AS descendant_idx FROM nodes n LEFT JOIN nodes p ON p.id = n.dsc",
-    "progenitor_csr": f"{_TREE} SELECT dsc AS id, list(idx ORDER BY idx) AS progenitors FROM nodes WHERE dsc IS NOT NULL GROUP BY 1",
+    "progenitor_csr": f"{_TREE} SELECT dsc AS id, row_number() OVER (PARTITION BY dsc ORDER BY idx) - 1 AS place, idx AS progenitor FROM nodes WHERE dsc IS NOT NULL",
     "csr_offsets": f"{_TREE} SELECT id, progenitor_count, CAST(coalesce(sum(progenitor_count) OVER (PARTITION BY root ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS progenitor_offset FROM nodes JOIN cnt USING (id)",
     "progenitor_count": f"{_TREE} SELECT id, progenitor_count FROM cnt",
     "branch_size": f"{_TREE} SELECT id, size AS branch_size FROM sizes",

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.geometry import wrap_once
 from ..functions.tags import unique_id
 from ..operators import cores as co
 from ..operators import lightcone as lc
+from ..operators.prefix import exclusive_sum
 from ..operators.records import keyed
 from ..sources.tables import read_table
 
@@ -84,8 +84,8 @@ def core_orphans(spark, folder):
 def core_root_order(spark, folder):
     """Centrals first, then by tag, within each FoF group of the last snapshot."""
     rows = cores(spark, folder).where((F.col("snapnum") == LAST) & F.col("fof_halo_tag").isNotNull())
-    order = Window.partitionBy("fof_halo_tag").orderBy((F.coalesce("central", F.lit(0)) != 1), "core_tag")
-    return rows.select("fof_halo_tag", "core_tag", (F.row_number().over(order) - 1).alias("place"))
+    rows = rows.select("fof_halo_tag", "core_tag", (F.coalesce("central", F.lit(0)) != 1).alias("satellite"))
+    return exclusive_sum(rows, ["fof_halo_tag"], [F.col("satellite"), F.shiftright("core_tag", 12)], [F.col("core_tag")], F.lit(1), "place").drop("satellite")
 
 
 def satellite_to_central(spark, folder):
@@ -228,7 +228,7 @@ ORACLES = {
     "core_positions": f"{_RUN} SELECT core_tag, snapnum, CAST(place AS INT) AS place FROM run",
     "core_forest": f"{_LINK.replace('WITH RECURSIVE', 'WITH RECURSIVE', 1)}, {_RUN.removeprefix(_CORES).lstrip(', ')} SELECT core_tag, snapnum, CAST(place AS INT) AS place, coalesce(host, -1) AS host, coalesce(central, 0) AS central FROM run JOIN ln USING (core_tag, snapnum)",
     "core_orphans": f"{_CORES} SELECT core_tag, count(*) AS n_rows, max(snapnum) AS last_seen FROM c GROUP BY 1 HAVING max(snapnum) < {LAST}",
-    "core_root_order": f"{_CORES} SELECT fof_halo_tag, core_tag, CAST(row_number() OVER (PARTITION BY fof_halo_tag ORDER BY coalesce(central, 0) <> 1, core_tag) - 1 AS INT) AS place FROM c WHERE snapnum = {LAST} AND fof_halo_tag IS NOT NULL",
+    "core_root_order": f"{_CORES} SELECT fof_halo_tag, core_tag, row_number() OVER (PARTITION BY fof_halo_tag ORDER BY coalesce(central, 0) <> 1, core_tag) - 1 AS place FROM c WHERE snapnum = {LAST} AND fof_halo_tag IS NOT NULL",
     "satellite_to_central": f"{_CORES} SELECT a.snapnum, a.core_tag, b.t AS central_tag FROM c a JOIN (SELECT snapnum, fof_halo_tag, min(core_tag) AS t FROM c WHERE central = 1 GROUP BY 1, 2) b USING (snapnum, fof_halo_tag) WHERE coalesce(a.central, 0) <> 1",
     "core_union": f"{_CORES} SELECT snapnum, CASE WHEN central = 1 THEN 'central' ELSE 'satellite' END AS part, count(*) AS n FROM c GROUP BY 1, 2",
     "lc_halos": f"WITH {_HALOS} SELECT tag, fragment, count(*) AS n FROM hc GROUP BY 1, 2",
