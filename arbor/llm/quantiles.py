@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -94,35 +95,52 @@ def summarize(df: DataFrame, keys: list[str], value: str, k: int = K) -> DataFra
     return made.withColumn("part", F.spark_partition_id())
 
 
-def _merge(rows: pd.DataFrame, k: int) -> Summary:
-    s = Summary(k)
-    s.err = float(rows["err"].sum())
-    order = rows.sort_values(["level", "part"], kind="stable") if "part" in rows else rows.sort_values("level", kind="stable")
-    for level, values in zip(order["level"], order["vals"]):
-        s.add(np.asarray(values, dtype=float)) if level < 0 else s.put(int(level), np.asarray(values, dtype=float))
-    return s
+def _by_key(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tuple, Iterator[tuple[int, float, np.ndarray]]]]:
+    """Of rows (`width` key columns, level, err, vals) sorted by key, each key with its (level, err, values)."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            lists = batch.column(width + 2)
+            flat, at = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+            keys = zip(*(batch.column(j).to_pylist() for j in range(width)))
+            for i, (key, level, err) in enumerate(zip(keys, batch.column(width).to_pylist(), batch.column(width + 1).to_pylist())):
+                yield key, level, err, flat[at[i] : at[i + 1]]
+
+    for key, same in groupby(rows(), key=lambda r: r[0]):
+        yield key, (r[1:] for r in same)
 
 
 def merged(summaries: DataFrame, keys: list[str], k: int = K) -> DataFrame:
     """Summaries combined per combination of `keys`, a subset of those they were made for: days or files may be merged
     in any grouping. Merging goes in two stages of FAN parts each, so no task gets the summaries of all tasks for one
-    key at once; what it gets is summaries, never rows."""
-    schema = ", ".join(f"{c} long" for c in keys) + ", " + SUMMARY
+    key at once. Summaries of a key come in a row, sorted, and a task holds one key's at a time."""
+    schema = ", ".join(f"{c} long" for c in keys) + ", part int, " + SUMMARY
+    width = len(keys) + 1
 
-    def combine(*by: str):
-        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            out = pd.DataFrame(list(_merge(rows, k).rows()), columns=["level", "err", "vals"])
-            for j, c in enumerate(keys):
-                out.insert(j, c, pd.Series([None if pd.isna(key[j]) else int(key[j])] * len(out), dtype="Int64"))
-            if "part" in by:
-                out["part"] = key[len(keys)]
-            return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
 
-        return run
+        def out() -> pa.RecordBatch:
+            cols = [pa.array([r[0][j] for r in rows], pa.int64() if j < width - 1 else pa.int32()) for j in range(width)]
+            return pa.RecordBatch.from_arrays([*cols, pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.float64()), pa.array([r[3] for r in rows], pa.list_(pa.float64()))], names=[*keys, "part", "level", "err", "vals"])
 
-    first = summaries.select(*keys, (F.col("part") % FAN).alias("part"), "level", "err", "vals")
-    first = first.groupBy(*keys, "part").applyInPandas(combine(*keys, "part"), schema + ", part int")
-    return first.groupBy(*keys).applyInPandas(combine(*keys), schema).withColumn("part", F.lit(0))
+        for key, parts in _by_key(batches, width):
+            held = Summary(k)
+            for level, err, values in parts:
+                held.err += err
+                held.add(values) if level < 0 else held.put(level, values)
+            rows += [(key, *r) for r in held.rows()]
+            if len(rows) > 500:
+                yield out()
+                rows = []
+        if rows:
+            yield out()
+
+    def stage(df: DataFrame) -> DataFrame:
+        return df.repartition(*keys, "part").sortWithinPartitions(*keys, "part", "level", "src").drop("src").mapInArrow(run, schema)
+
+    first = stage(summaries.select(*keys, (F.col("part") % FAN).alias("part"), "level", "err", "vals", F.col("part").alias("src")))
+    return stage(first.select(*keys, F.lit(0).alias("part"), "level", "err", "vals", F.col("part").alias("src")))
 
 
 def percentiles(summaries: DataFrame, keys: list[str], percents: list[int]) -> DataFrame:
@@ -130,16 +148,17 @@ def percentiles(summaries: DataFrame, keys: list[str], percents: list[int]) -> D
     (at least 1) of the summary; its true rank differs by at most max_rank_error. `summaries` are of one row set per
     key, as `merged` gives them."""
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        values = np.concatenate([np.asarray(v, dtype=float) for v in rows["vals"]])
-        weights = np.concatenate([np.full(len(v), 2 ** max(0, int(level)), dtype=np.int64) for level, v in zip(rows["level"], rows["vals"])])
-        order = np.argsort(values, kind="stable")
-        up = np.cumsum(weights[order])
-        n = int(up[-1])
-        at = [int(np.searchsorted(up, max(1, -(-p * n // 100)))) for p in percents]
-        out = pd.DataFrame({"percent": percents, "value": values[order][at], "n_values": n, "max_rank_error": float(rows["err"].sum())})
-        for j, c in enumerate(keys):
-            out.insert(j, c, pd.Series([None if pd.isna(key[j]) else int(key[j])] * len(out), dtype="Int64"))
-        return out
-
-    return summaries.groupBy(*keys).applyInPandas(run, ", ".join(f"{c} long" for c in keys) + ", percent int, value double, n_values long, max_rank_error double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, parts in _by_key(batches, len(keys)):
+            levels, errs, lists = zip(*parts)
+            values = np.concatenate(lists)
+            weights = np.concatenate([np.full(len(v), 2 ** max(0, level), dtype=np.int64) for level, v in zip(levels, lists)])
+            order = np.argsort(values, kind="stable")
+            up = np.cumsum(weights[order])
+            n, m = int(up[-1]), len(percents)
+            at = [int(np.searchsorted(up, max(1, -(-p * n // 100)))) for p in percents]
+            cols = [pa.array([x] * m, pa.int64()) for x in key]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(percents, pa.int32()), pa.array(values[order][at]), pa.array([n] * m, pa.int64()), pa.array([float(sum(errs))] * m)], names=[*keys, "percent", "value", "n_values", "max_rank_error"])
+
+    rows = summaries.select(*keys, "level", "err", "vals").repartition(*keys).sortWithinPartitions(*keys)
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in keys) + ", percent int, value double, n_values long, max_rank_error double")

@@ -66,6 +66,12 @@ def _summaries(spark: SparkSession, folder: str) -> DataFrame:
     return quantiles.summarize(rows, ["snapnum", "day"], "tree_node_mass")
 
 
+def p6_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles of the finite masses of each snapshot and day of loading: what the daily summaries say by themselves."""
+    out = quantiles.percentiles(quantiles.merged(_summaries(spark, folder), ["snapnum", "day"]), ["snapnum", "day"], PERCENTS)
+    return out.select(F.col("snapnum").cast("int").alias("snapnum"), F.date_add(F.lit("1970-01-01").cast("date"), F.col("day").cast("int")).alias("day"), "percent", "value", "n_values", "max_rank_error")
+
+
 def p6_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     """Percentiles of the finite masses of each snapshot, over every delivered row, from daily summaries."""
     daily = quantiles.merged(_summaries(spark, folder), ["snapnum", "day"])
@@ -115,7 +121,7 @@ def p9_restored(spark: SparkSession, folder: str) -> DataFrame:
     return _garbled(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_top, p3_found, p3_chunks, p3_fill, p3_trees, p6_percentiles, p6_days, p7_ids, p8_drawn, p8_shares, p9_found, p9_restored)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_top, p3_found, p3_chunks, p3_fill, p3_trees, p6_daily, p6_percentiles, p6_days, p7_ids, p8_drawn, p8_shares, p9_found, p9_restored)}
 
 _LATEST = "r AS (SELECT tree_node_index AS t, max(struct_pack(a := loaded_at, d := desc_node_index, m := tree_node_mass, b := branch_size)) AS x FROM forest WHERE tree_node_index IS NOT NULL GROUP BY 1)"
 _RANKED = f"""WITH {_LATEST}, k AS (SELECT x.d AS desc_node_index, t AS tree_node_index, CAST(x.m AS DOUBLE) AS tree_node_mass,
@@ -131,6 +137,7 @@ ORACLES = {
     "p2_top": f"{_RANKED} SELECT desc_node_index, rnk, tree_node_index, tree_node_mass FROM k WHERE rnk <= 3",
     "p3_found": f"{_ROOTS} SELECT layout_name, t AS tree_node_index FROM roots JOIN chunk_layouts ON b > capacity_rows",
     "p3_trees": f"{_ROOTS} SELECT layout_name, t AS tree_node_index, (b + capacity_rows - 1) // capacity_rows AS n_pieces, b AS n_rows FROM roots CROSS JOIN chunk_layouts",
+    "p6_daily": _PERCENTILES.replace("{expr} AS {key}", "{expr}").format(key="snapnum, day", expr="CAST(snapnum AS INT) AS snapnum, CAST(loaded_at AS DATE) AS day"),
     "p6_percentiles": _PERCENTILES.format(key="snapnum", expr="CAST(snapnum AS INT)"),
     "p6_days": _PERCENTILES.format(key="day", expr="CAST(loaded_at AS DATE)"),
 }
