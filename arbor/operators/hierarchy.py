@@ -182,8 +182,8 @@ def subtree_sizes(peeled: Peeled) -> DataFrame:
     return rows.withColumn("n_descendants", F.sum("n").over(below) - 1).where("id is not null").select(*KEY, "note", "chain", "d", "n_descendants")
 
 
-def hierarchy(peeled: Peeled, with_path: bool = True) -> DataFrame:
-    """Per node not on a loop: scope, id, note, root, depth, path (ids from the root to the node) and n_descendants. Nodes
+def hierarchy(peeled: Peeled, with_path: bool = True, with_note: bool = False) -> DataFrame:
+    """Per node not on a loop: scope, id, (note,) root, depth, path (ids from the root to the node) and n_descendants. Nodes
     that lead into a loop have null root, depth and path, but their descendants count. Nodes on loops have no row.
 
     Facts and steps are joined per chain and only then spread over its nodes, so no path is ever shuffled."""
@@ -198,7 +198,7 @@ def hierarchy(peeled: Peeled, with_path: bool = True) -> DataFrame:
     rows = chains.select("*", F.posexplode("steps").alias("k", "s"))
     if peeled.residual is not None:
         rows = rows.where("entry is null or k > entry")
-    return rows.select("scope", "s.id", "s.note", "root", (F.col("base") + F.col("k")).alias("depth"), *path, "s.n_descendants")
+    return rows.select("scope", "s.id", *(["s.note"] if with_note else []), "root", (F.col("base") + F.col("k")).alias("depth"), *path, "s.n_descendants")
 
 
 def descendants(tree: DataFrame) -> DataFrame:

@@ -92,7 +92,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Root, depth, path and number of descendants of each key that isn't on a loop."""
-    return _named(hierarchy(resolve(links(spark, folder))), "root", "depth", "path", "n_descendants")
+    return _named(hierarchy(resolve(links(spark, folder)), with_note=True), "root", "depth", "path", "n_descendants")
 
 
 def p5_descendants(spark: SparkSession, folder: str) -> DataFrame:
