@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry
@@ -94,33 +94,63 @@ def quality_metrics(spark, folder):
     return rows.groupBy(F.col("snapnum").cast("int").alias("snapnum")).agg(F.count("*").alias("n_rows"), bad("tree_node_mass").alias("bad_mass"), bad("sod_halo_radius").alias("bad_radius"), F.max("loaded_at").alias("last_load"))
 
 
-def snapshots(spark, folder):
-    """Step, scale factor, redshift, H, overdensity of each snapshot."""
-    a = SIM.step2a(F.col("step"))
-    rows = read_table(spark, folder, "sim_snapshots").select(F.col("snapnum").cast("int").alias("snapnum"), "step", a.alias("a"))
-    c = SIM.cosmo
-    return rows.select("snapnum", "step", F.round("a", 9).alias("scale_factor"), F.round(1 / F.col("a") - 1, 9).alias("redshift"), F.round(c.hubble_parameter(F.col("a")), 6).alias("hubble"), F.round(c.virial_overdensity(F.col("a")), 6).alias("overdensity"))
+def _steps(spark, folder) -> DataFrame:
+    """id, snapnum, step and a, the scale factor, of each halo."""
+    rows = read_table(spark, folder, "sim_snapshots").select(F.col("snapnum").cast("int").alias("snapnum"), "step", SIM.step2a(F.col("step")).alias("a"))
+    return catalog(spark, folder).select("id", "snapnum").join(rows, "snapnum")
 
 
-def lookback(spark, folder):
-    """Lookback time in Gyr of each snapshot; a number per step, made on the driver for at most a few hundred steps."""
+def scale_factor(spark, folder):
+    return _steps(spark, folder).select("id", "snapnum", "step", F.round("a", 9).alias("scale_factor"))
+
+
+def redshift(spark, folder):
+    return _steps(spark, folder).select("id", F.round(1 / F.col("a") - 1, 9).alias("redshift"))
+
+
+def hubble(spark, folder):
+    return _steps(spark, folder).select("id", F.round(SIM.cosmo.hubble_parameter(F.col("a")), 6).alias("hubble"))
+
+
+def virial_overdensity(spark, folder):
+    return _steps(spark, folder).select("id", F.round(SIM.cosmo.virial_overdensity(F.col("a")), 6).alias("overdensity"))
+
+
+def _lookbacks(spark, folder) -> DataFrame:
+    """snapnum, step, lookback; a number per step, made on the driver for at most a few hundred steps."""
     steps = [r[0] for r in read_table(spark, folder, "sim_snapshots").select("step").distinct().take(10_000)]
     times = SIM.step2lookback(steps) if steps else []
     table = spark.createDataFrame([(int(s), float(t)) for s, t in zip(steps, times)], "step int, lookback double")
     return read_table(spark, folder, "sim_snapshots").join(F.broadcast(table), "step").select(F.col("snapnum").cast("int").alias("snapnum"), "step", "lookback")
 
 
+def lookback(spark, folder):
+    """Lookback time in Gyr of each halo."""
+    return catalog(spark, folder).select("id", "snapnum").join(_lookbacks(spark, folder), "snapnum").select("id", "snapnum", "step", "lookback")
+
+
 def fragment_split(spark, folder):
     t = F.col("fof_halo_tag")
     return records(spark, folder).where("fof_halo_tag is not null").select("id", parent_tag(t).alias("tag"), fragment_index(t).alias("fragment"))
 
 
-def xoff(spark, folder):
-    """Distances of each halo's center from its descendant's, over its radius; -101 without a spherical mass."""
+def _deltas(spark, folder) -> tuple[DataFrame, list[Column]]:
+    """Halos with a radius and a center, joined with their descendant's center, and the differences per axis."""
     rows = records(spark, folder).where(_fine("fof_halo_center_x", "fof_halo_center_y", "fof_halo_center_z", "sod_halo_radius", "sod_halo_mass") + " and sod_halo_radius > 0")
     goal = rows.select(F.col("id").alias("desc_node_index"), *(F.col(f"fof_halo_center_{c}").alias(f"d{c}") for c in "xyz"))
-    d = [F.col(f"d{c}") - F.col(f"fof_halo_center_{c}") for c in "xyz"]
-    return rows.join(goal, "desc_node_index").select("id", F.round(geometry.offset(*d, F.col("sod_halo_radius"), F.col("sod_halo_mass"), BOX), 3).alias("xoff"), F.round(geometry.min_image(d[0], BOX), 5).alias("dx"))
+    return rows.join(goal, "desc_node_index"), [F.col(f"d{c}") - F.col(f"fof_halo_center_{c}") for c in "xyz"]
+
+
+def xoff(spark, folder):
+    """Distances of each halo's center from its descendant's, over its radius; -101 without a spherical mass."""
+    rows, d = _deltas(spark, folder)
+    return rows.select("id", F.round(geometry.offset(*d, F.col("sod_halo_radius"), F.col("sod_halo_mass"), BOX), 3).alias("xoff"), F.round(geometry.min_image(d[0], BOX), 5).alias("dx"))
+
+
+def min_image(spark, folder):
+    """From each halo's center to its descendant's, the shorter way round the box."""
+    rows, d = _deltas(spark, folder)
+    return rows.select("id", *(F.round(geometry.min_image(x, BOX), 5).alias(f"d{c}") for c, x in zip("xyz", d)))
 
 
 def copy_rename(spark, folder):
@@ -214,7 +244,7 @@ def merger_probability(spark, folder, thresholds=(0.1, 0.3)):
 
 def merger_rate(spark, folder, threshold: float = 0.1):
     per = _mergers(spark, folder).groupBy("snapnum").agg((F.sum((F.col("ratio") > threshold).cast("long")) / F.count("*")).alias("p"))
-    back = lookback(spark, folder).select("snapnum", "lookback")
+    back = _lookbacks(spark, folder).select("snapnum", "lookback")
     before = back.select((F.col("snapnum") + 1).alias("snapnum"), F.col("lookback").alias("before"))
     return per.join(back, "snapnum").join(before, "snapnum").select("snapnum", (F.col("p") / (F.col("before") - F.col("lookback"))).alias("rate"))
 
@@ -302,8 +332,8 @@ def fsub_stats_rows(spark, folder):
 
 
 QUERIES = {
-    **{f.__name__: f for f in (forest_scan, forest_projection, forest_z0_roots, forest_chunk, subtree_targets, subtree_slice, catalog_clean, quality_metrics, lookback, fragment_split, xoff, copy_rename, mass_bin_targets, descendant_join, orphans_anti, orphans_to_roots, descendant_idx, progenitor_csr, csr_offsets, progenitor_count, branch_size, dfs_order, root_label, branch_ids, mainbranch, mainbranch_mass, mean_mass_growth, nth_progenitor, merger_probability, merger_rate, last_major_merger, most_massive, infall_hist, mass_prune, mass_prune_size, adjacency_coo, tree_extract, root_order, sibling_order, fragfix_const, fragfix_linear, sub_rows, sub_offsets)},
-    "scale_factor": snapshots, "branch_matrix": branch_matrix_rows, "branch_hosts": branch_host_rows, "sub_hosts": sub_host_rows, "submass": submass_rows, "fsub_stats": fsub_stats_rows,
+    **{f.__name__: f for f in (forest_scan, forest_projection, forest_z0_roots, forest_chunk, subtree_targets, subtree_slice, catalog_clean, quality_metrics, scale_factor, redshift, hubble, virial_overdensity, lookback, fragment_split, xoff, min_image, copy_rename, mass_bin_targets, descendant_join, orphans_anti, orphans_to_roots, descendant_idx, progenitor_csr, csr_offsets, progenitor_count, branch_size, dfs_order, root_label, branch_ids, mainbranch, mainbranch_mass, mean_mass_growth, nth_progenitor, merger_probability, merger_rate, last_major_merger, most_massive, infall_hist, mass_prune, mass_prune_size, adjacency_coo, tree_extract, root_order, sibling_order, fragfix_const, fragfix_linear, sub_rows, sub_offsets)},
+    "branch_matrix": branch_matrix_rows, "branch_hosts": branch_host_rows, "sub_hosts": sub_host_rows, "submass": submass_rows, "fsub_stats": fsub_stats_rows,
 }
 
 _RECS = "recs AS (SELECT tree_node_index AS id, max(struct_pack(t := loaded_at, d := desc_node_index, s := CAST(snapnum AS INT), m := CAST(tree_node_mass AS DOUBLE), g := fof_halo_tag, sm := CAST(sod_halo_mass AS DOUBLE), sr := CAST(sod_halo_radius AS DOUBLE), sc := CAST(sod_halo_cdelta AS DOUBLE), x := CAST(fof_halo_center_x AS DOUBLE), y := CAST(fof_halo_center_y AS DOUBLE), z := CAST(fof_halo_center_z AS DOUBLE))) AS r FROM forest WHERE tree_node_index IS NOT NULL GROUP BY 1)"
@@ -322,6 +352,7 @@ targets AS MATERIALIZED (SELECT id FROM nodes WHERE snapnum = {LAST} AND mass >
 main AS MATERIALIZED (SELECT t.id AS target, n.id, n.snapnum, n.mass FROM targets t JOIN nodes h ON h.id = t.id JOIN nodes n ON n.branch = h.branch AND n.snapnum <= h.snapnum)"""
 _A = "(1.0::DOUBLE / 201 + (1 - 1.0::DOUBLE / 201) / 500 * ({} + 1))"
 _STEP = "list_extract([" + ", ".join(map(str, SIM.steps)) + "], snapnum + 1)"
+_STEPS = f"{_CAT}, st AS (SELECT c.id, c.snapnum, s.step, {_A.format('s.step')} AS a FROM cat c JOIN sim_snapshots s ON s.snapnum = c.snapnum)"
 _OM, _OL, _H = SIM.cosmo.Omega_m, SIM.cosmo.Omega_L, SIM.cosmo.h
 _PRUNED = f"""{_TREE}, low AS (SELECT id FROM nodes WHERE NOT mass > 1e11),
 gone AS (SELECT DISTINCT n.id FROM (SELECT id, unnest(anc) AS a FROM nodes) n JOIN low ON low.id = n.a),
@@ -335,6 +366,8 @@ _FRAG = f"""{_TREE}, fr AS (SELECT n.id, n.branch, n.snapnum, n.mass, CASE WHEN
 f2 AS (SELECT *, fragment = 0 OR row_number() OVER (PARTITION BY branch ORDER BY snapnum DESC) = 1 AS good FROM fr)"""
 _WRAP = f"round((({{0}} % {BOX}) + {BOX}) % {BOX}, 6)"
 _MI = f"({{0}} + CASE WHEN {{0}} < -{BOX / 2} THEN {BOX} WHEN {{0}} > {BOX / 2} THEN -{BOX} ELSE 0 END)"
+_DELTAS = f"""WITH {_RECS}, ok AS (SELECT id, r.* FROM recs WHERE isfinite(r.x) AND isfinite(r.y) AND isfinite(r.z) AND isfinite(r.sr) AND isfinite(r.sm) AND r.sr > 0),
+p AS (SELECT a.id, a.sr, a.sm, {_MI.format('(b.x - a.x)')} AS dx, {_MI.format('(b.y - a.y)')} AS dy, {_MI.format('(b.z - a.z)')} AS dz FROM ok a JOIN ok b ON b.id = a.d)"""
 
 ORACLES = {
     "forest_scan": f"{_TREE} SELECT id, coalesce(dsc, -1) AS desc, snapnum, mass, root, idx, size, progenitor_count, round({_A.format(_STEP)}, 9) AS scale_factor FROM nodes JOIN sizes USING (id) JOIN cnt USING (id)",
@@ -345,11 +378,13 @@ ORACLES = {
     "subtree_slice": f"{_TREE}, a AS (SELECT snapnum, unnest(anc) AS target FROM nodes) SELECT target, count(*) AS n, min(snapnum) AS first_snap FROM a WHERE target IN (SELECT id FROM nodes WHERE snapnum = 50 AND mass > {LOW}) GROUP BY 1",
     "catalog_clean": f"WITH {_RECS} SELECT id, r.s AS snapnum, {_WRAP.format('r.x')} AS x, {_WRAP.format('r.y')} AS y, {_WRAP.format('r.z')} AS z FROM recs WHERE isfinite(r.m) AND isfinite(r.x) AND isfinite(r.y) AND isfinite(r.z) AND isfinite(r.sr)",
     "quality_metrics": "SELECT CAST(snapnum AS INT) AS snapnum, count(*) AS n_rows, count(*) FILTER (NOT coalesce(isfinite(tree_node_mass), false)) AS bad_mass, count(*) FILTER (NOT coalesce(isfinite(sod_halo_radius), false)) AS bad_radius, max(loaded_at) AS last_load FROM forest GROUP BY 1",
-    "scale_factor": f"SELECT snapnum, step, round(a, 9) AS scale_factor, round(1 / a - 1, 9) AS redshift, round(100 * {_H} * sqrt({_OM} / (a * a * a) + {_OL}), 6) AS hubble, round(18 * pi() * pi() + 82 * x - 39 * x * x, 6) AS overdensity FROM (SELECT *, {_OM} / (a * a * a) / ({_OM} / (a * a * a) + {_OL}) - 1 AS x FROM (SELECT CAST(snapnum AS INT) AS snapnum, step, {_A.format('step')} AS a FROM sim_snapshots))",
+    "scale_factor": f"{_STEPS} SELECT id, snapnum, step, round(a, 9) AS scale_factor FROM st",
+    "redshift": f"{_STEPS} SELECT id, round(1 / a - 1, 9) AS redshift FROM st",
+    "hubble": f"{_STEPS} SELECT id, round(100 * {_H} * sqrt({_OM} / (a * a * a) + {_OL}), 6) AS hubble FROM st",
+    "virial_overdensity": f"{_STEPS} SELECT id, round(18 * pi() * pi() + 82 * x - 39 * x * x, 6) AS overdensity FROM (SELECT id, {_OM} / (a * a * a) / ({_OM} / (a * a * a) + {_OL}) - 1 AS x FROM st)",
     "fragment_split": f"WITH {_RECS} SELECT id, CASE WHEN r.g < 0 THEN (-r.g) & 281474976710655 ELSE r.g END AS tag, CASE WHEN r.g < 0 THEN (-r.g) >> 48 ELSE 0 END AS fragment FROM recs WHERE r.g IS NOT NULL",
-    "xoff": f"""WITH {_RECS}, ok AS (SELECT id, r.* FROM recs WHERE isfinite(r.x) AND isfinite(r.y) AND isfinite(r.z) AND isfinite(r.sr) AND isfinite(r.sm) AND r.sr > 0),
-p AS (SELECT a.id, a.sr, a.sm, {_MI.format('(b.x - a.x)')} AS dx, {_MI.format('(b.y - a.y)')} AS dy, {_MI.format('(b.z - a.z)')} AS dz FROM ok a JOIN ok b ON b.id = a.d)
-SELECT id, round(CASE WHEN sm > 0 THEN sqrt(dx * dx + dy * dy + dz * dz) / sr ELSE -101 END, 3) AS xoff, round(dx, 5) AS dx FROM p""",
+    "xoff": f"{_DELTAS} SELECT id, round(CASE WHEN sm > 0 THEN sqrt(dx * dx + dy * dy + dz * dz) / sr ELSE -101 END, 3) AS xoff, round(dx, 5) AS dx FROM p",
+    "min_image": f"{_DELTAS} SELECT id, round(dx, 5) AS dx, round(dy, 5) AS dy, round(dz, 5) AS dz FROM p",
     "copy_rename": f"WITH {_RECS} SELECT id, r.g AS tag, r.g AS tag_copy, r.s AS snapshot FROM recs",
     "mass_bin_targets": f"{_TREE} SELECT id FROM targets",
     "descendant_join": f"{_CAT} SELECT id, coalesce(dsc, -1) AS desc FROM hal",

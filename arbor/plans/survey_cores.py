@@ -128,9 +128,11 @@ def lc_replications(spark, folder):
 
 
 def lc_step_map(spark, folder):
-    """The snapshot whose cores a lightcone step takes: the next one; the last step has none."""
+    """The snapshot whose cores a lightcone step takes, and how many these are: the next one; the last step has none."""
     rows = read_table(spark, folder, "sim_snapshots").select(F.col("snapnum").cast("int").alias("snapnum"), "step")
-    return rows.join(rows.select((F.col("snapnum") - 1).alias("snapnum"), F.lit(True).alias("more")), "snapnum").select("step", (F.col("snapnum") + 1).alias("target_snap"))
+    more = rows.select((F.col("snapnum") - 1).alias("snapnum")).join(rows, "snapnum").select("step", (F.col("snapnum") + 1).alias("target_snap"))
+    n = cores(spark, folder).groupBy(F.col("snapnum").alias("target_snap")).agg(F.count("*").alias("n_cores"))
+    return more.join(n, "target_snap", "left").select("step", "target_snap", F.coalesce("n_cores", F.lit(0)).alias("n_cores"))
 
 
 def _at(spark, folder) -> DataFrame:
@@ -177,6 +179,13 @@ def lc_angles(spark, folder):
     return lc.angles(_replicated(spark, folder)).select("core_tag", "replication", *(F.round(c, 6).alias(c) for c in ("theta", "phi", "host_theta", "host_phi")))
 
 
+def lc_output(spark, folder):
+    """Cores on the lightcone under the names that they are written with."""
+    rows = lc.angles(_replicated(spark, folder))
+    halo = {"hx": "lc_halo_x", "hy": "lc_halo_y", "hz": "lc_halo_z", "host_theta": "lc_halo_theta", "host_phi": "lc_halo_phi"}
+    return rows.select("core_tag", "replication", F.lit(AT).alias("snapnum"), F.col("tag").alias("lc_halo_foftag"), *(F.round(c, 6).alias(n) for c, n in halo.items()), *(F.round(c, 6).alias(c) for c in ("theta", "phi")))
+
+
 def lc_host_idx(spark, folder):
     tops = co.top_hosts(cores(spark, folder).where(F.col("snapnum") == AT))
     return lc.host_rows(_replicated(spark, folder), tops).select("core_tag", "replication", F.when(F.col("top_there"), F.col("top")).otherwise(F.lit(-1)).alias("top"))
@@ -187,7 +196,7 @@ def lc_pipeline(spark, folder):
     return out.groupBy("replication").agg(F.count("*").alias("n_cores"), F.countDistinct("tag").alias("n_halos"), F.sum(F.col("own_fragment").cast("long")).alias("n_own"))
 
 
-QUERIES = {f.__name__: f for f in (core_scan, core_host, core_top_host, core_secondary_host, core_group_count, core_host_tags, core_state, core_matrix, core_rows, core_lengths, core_positions, core_forest, core_orphans, core_root_order, satellite_to_central, core_union, lc_halos, lc_dedupe, lc_fragment_consistency, lc_replications, lc_step_map, lc_cores_at_step, lagrangian, lc_semi, lc_match, lc_host_core, lc_replicate, lc_angles, lc_host_idx, lc_pipeline)} | {"unique_id": unique_ids, "lc_offsets": min_image}
+QUERIES = {f.__name__: f for f in (core_scan, core_host, core_top_host, core_secondary_host, core_group_count, core_host_tags, core_state, core_matrix, core_rows, core_lengths, core_positions, core_forest, core_orphans, core_root_order, satellite_to_central, core_union, lc_halos, lc_dedupe, lc_fragment_consistency, lc_replications, lc_step_map, lc_cores_at_step, lagrangian, lc_semi, lc_match, lc_host_core, lc_replicate, lc_angles, lc_output, lc_host_idx, lc_pipeline)} | {"unique_id": unique_ids, "lc_offsets": min_image}
 
 _OK = "isfinite(x) AND isfinite(y) AND isfinite(z)"
 _CORES = """WITH RECURSIVE raw AS (SELECT core_tag, CAST(snapnum AS INT) AS snapnum, max(struct_pack(t := loaded_at, h := host_core, c := central, m := merged, g := fof_halo_tag, x := CAST(x AS DOUBLE), y := CAST(y AS DOUBLE), z := CAST(z AS DOUBLE))) AS r
@@ -236,7 +245,7 @@ ORACLES = {
     "lc_dedupe": f"WITH {_HALOS} SELECT replication, tag, fragment, CAST(a AS DOUBLE) AS a, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CAST(z AS DOUBLE) AS z FROM hd",
     "lc_fragment_consistency": f"WITH {_HALOS} SELECT replication, tag, fragment FROM hg",
     "lc_replications": f"WITH {_HALOS} SELECT tag, count(*) AS n_replications FROM hg GROUP BY 1",
-    "lc_step_map": "SELECT step, CAST(snapnum + 1 AS INT) AS target_snap FROM sim_snapshots WHERE snapnum < (SELECT max(snapnum) FROM sim_snapshots)",
+    "lc_step_map": f"{_CORES} SELECT s.step, CAST(s.snapnum + 1 AS INT) AS target_snap, count(c.core_tag) AS n_cores FROM sim_snapshots s LEFT JOIN c ON c.snapnum = s.snapnum + 1 WHERE s.snapnum < (SELECT max(snapnum) FROM sim_snapshots) GROUP BY 1, 2",
     "lc_cores_at_step": f"{_LC} SELECT core_tag, tag FROM att",
     "lagrangian": f"{_LC} SELECT core_tag, round((tag // ({GRID}::BIGINT * {GRID})) / {GRID}, 9) AS qx, round(((tag // {GRID}) % {GRID}) / {GRID}, 9) AS qy, round((tag % {GRID}) / {GRID}, 9) AS qz FROM att",
     "lc_semi": f"{_LC} SELECT core_tag FROM att WHERE tag IN (SELECT tag FROM hg)",
@@ -245,6 +254,7 @@ ORACLES = {
     "lc_offsets": f"{_OFF} SELECT core_tag, round(dx, 5) AS dx, round(dy, 5) AS dy, round(dz, 5) AS dz FROM ok",
     "lc_replicate": f"{_OFF} SELECT core_tag, replication, own_fragment, round(px, 4) AS px, round(py, 4) AS py, round(pz, 4) AS pz FROM rep",
     "lc_angles": f"{_OFF} SELECT core_tag, replication, {_ANG.format('px', 'py', 'pz', '')}, {_ANG.format('hx', 'hy', 'hz', 'host_')} FROM rep",
+    "lc_output": f"{_OFF} SELECT core_tag, replication, {AT} AS snapnum, tag AS lc_halo_foftag, round(hx, 6) AS lc_halo_x, round(hy, 6) AS lc_halo_y, round(hz, 6) AS lc_halo_z, {_ANG.format('px', 'py', 'pz', '')}, {_ANG.format('hx', 'hy', 'hz', 'lc_halo_')} FROM rep",
     "lc_host_idx": f"{_TOP}, {_OFF.removeprefix(_CORES).lstrip(', ')} SELECT r.core_tag, r.replication, coalesce(b.core_tag, -1) AS top FROM rep r LEFT JOIN tr ON tr.snapnum = {AT} AND tr.core_tag = r.core_tag LEFT JOIN rep b ON b.replication = r.replication AND b.core_tag = tr.path[1]",
     "lc_pipeline": f"{_OFF} SELECT replication, count(*) AS n_cores, count(DISTINCT tag) AS n_halos, count(*) FILTER (own_fragment) AS n_own FROM rep GROUP BY 1",
 }
