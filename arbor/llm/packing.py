@@ -35,8 +35,8 @@ def pack(items: DataFrame, item: str, size: str, layouts: DataFrame, layout: str
 
     An item is whole (one piece) unless it exceeds the capacity; then it gives full pieces, each with a container of
     its own, and the rest, if any, is packed like an item. Items with a null id and items whose size is null or not
-    positive have no place and no row; repeated rows are items of their own; empty tables give no rows. `layouts`
-    is a small table (at most 1,000 rows, checked); rows with a null or non-positive capacity are left out.
+    positive have no place and no row; repeated rows are items of their own, scattered like others; empty tables give no
+    rows. `layouts` is a small table (at most 1,000 rows, checked); rows with a null or non-positive capacity are left out.
 
     Items are scattered by hash over blocks of about PER_BLOCK containers, so a task holds at most that many containers'
     worth of items, whatever the input; within a block they are assigned by descending size to the container of lowest
@@ -53,7 +53,7 @@ def pack(items: DataFrame, item: str, size: str, layouts: DataFrame, layout: str
     pieces = F.col("full") + (F.col("rest") > 0).cast("long")
     full = each.where("full > 0").select("layout", "item", "copy", F.col("size").alias("whole"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("full"))).alias("piece"), pieces.alias("n_pieces"), F.col("capacity").alias("size"))
     full = full.withColumn("container", F.concat_ws("-", F.lit("t"), "item", "whole", "copy", "piece"))
-    rest = each.where("rest > 0").select("layout", "item", pieces.alias("piece"), pieces.alias("n_pieces"), F.col("rest").alias("size"), "capacity", F.pmod(F.xxhash64("layout", "item"), F.col("blocks")).alias("block"))
+    rest = each.where("rest > 0").select("layout", "item", pieces.alias("piece"), pieces.alias("n_pieces"), F.col("rest").alias("size"), "capacity", F.pmod(F.xxhash64("layout", "item", "size", "copy"), F.col("blocks")).alias("block"))
 
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["size", "item"], ascending=[False, True], ignore_index=True)
