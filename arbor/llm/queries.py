@@ -121,7 +121,7 @@ def p9_restored(spark: SparkSession, folder: str) -> DataFrame:
     return _garbled(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_top, p3_found, p3_chunks, p3_fill, p3_trees, p6_daily, p6_percentiles, p6_days, p7_ids, p8_drawn, p8_shares, p9_found, p9_restored)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_top, p3_found, p3_chunks, p3_fill, p3_trees, p6_percentiles, p6_daily, p6_days, p7_ids, p8_drawn, p8_shares, p9_found, p9_restored)}
 
 _LATEST = "r AS (SELECT tree_node_index AS t, max(struct_pack(a := loaded_at, d := desc_node_index, m := tree_node_mass, b := branch_size)) AS x FROM forest WHERE tree_node_index IS NOT NULL GROUP BY 1)"
 _RANKED = f"""WITH {_LATEST}, k AS (SELECT x.d AS desc_node_index, t AS tree_node_index, CAST(x.m AS DOUBLE) AS tree_node_mass,
