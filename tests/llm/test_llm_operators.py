@@ -1,10 +1,12 @@
 import base64
+import collections
 import math
 import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from arbor.llm import bpe, mixing, mojibake, packing, quantiles, topn
 
@@ -64,6 +66,14 @@ def test_pack_places_everything_once(spark):
     assert packing.pack(df, "id", "size", layouts.limit(0), "name", "cap").count() == 0
 
 
+def test_pack_scatters_copies_of_one_item(spark):
+    items = spark.range(3000).select(F.lit(1).cast("long").alias("id"), F.lit(3).alias("size"))
+    layouts = spark.createDataFrame([("small", 10)], "name string, cap long")
+    rows = packing.pack(items, "id", "size", layouts, "name", "cap").collect()
+    assert len(rows) == 3000 and len({r.container.split("-")[0] for r in rows}) == round(9000 / (10 * packing.PER_BLOCK))
+    assert max(collections.Counter(r.container for r in rows).values()) == 3
+
+
 # ---------------------------------------------------------------- percentiles
 
 
