@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.derived import with_derived
@@ -37,10 +37,19 @@ def reorganize(spark: SparkSession, path: str, n_files: int = 16) -> None:
 
 def intersect(spark: SparkSession, core_path: str, halo_path: str, output: str, snapnum: int, step: int, box: float, grid: int) -> None:
     """Cores of one snapshot onto the halos of a lightcone step."""
-    rows = spark.read.parquet(core_path).withColumn("snapnum", F.col("snapnum").cast("int"))
+    sinks.write_lightcone(lightcone.pipeline(_cores(spark, core_path), spark.read.parquet(halo_path), snapnum, box, grid), output, step)
+
+
+def intersect_steps(spark: SparkSession, core_path: str, halo_path: str, snapshot_path: str, output: str, box: float, grid: int) -> None:
+    """Cores of all snapshots onto the halos of a whole lightcone, step by step as the table of snapshots has them."""
+    sinks.write_lightcone(lightcone.pipeline_of_steps(_cores(spark, core_path), spark.read.parquet(halo_path), spark.read.parquet(snapshot_path), box, grid), output)
+
+
+def _cores(spark: SparkSession, path: str) -> DataFrame:
+    rows = spark.read.parquet(path).withColumn("snapnum", F.col("snapnum").cast("int"))
     if "loaded_at" in rows.columns:
         rows = keyed(rows, cores.KEY, ["central", "merged", "host_core", "fof_halo_tag", "x", "y", "z"])
-    sinks.write_lightcone(lightcone.pipeline(rows, spark.read.parquet(halo_path), snapnum, box, grid), output, step)
+    return rows
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -51,10 +60,15 @@ def main(argv: list[str] | None = None) -> None:
     cone = sub.add_parser("intersect")
     for name, kind in (("cores", str), ("halos", str), ("output", str), ("snapnum", int), ("step", int), ("box", float), ("grid", int)):
         cone.add_argument(name, type=kind)
+    cone = sub.add_parser("intersect-steps")
+    for name, kind in (("cores", str), ("halos", str), ("snapshots", str), ("output", str), ("box", float), ("grid", int)):
+        cone.add_argument(name, type=kind)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("arbor").getOrCreate()
     if args.what == "intersect":
         intersect(spark, args.cores, args.halos, args.output, args.snapnum, args.step, args.box, args.grid)
+    elif args.what == "intersect-steps":
+        intersect_steps(spark, args.cores, args.halos, args.snapshots, args.output, args.box, args.grid)
     else:
         {"convert": convert, "reorganize": reorganize}[args.what](spark, args.config)
 

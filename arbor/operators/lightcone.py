@@ -13,6 +13,26 @@ from ..functions.tags import fragment_index, parent_tag
 FARTHEST = 20.0
 
 
+#: The key that sets the shells of a lightcone apart, given as `by` where rows of several are handled at once; without
+#: it all rows are of one shell.
+SHELL = ("snapnum",)
+
+
+def steps(snapshots: DataFrame) -> DataFrame:
+    """A row per lightcone step: step, snapnum (the next snapshot, whose cores it takes), and the scale factors a_from
+    and a_to between which its halos lie, the latter excluded. The last step has no next snapshot and gives no row.
+    Snapshots: snapnum, step, scale_factor."""
+    at = snapshots.select((F.col("snapnum").cast("int") + 1).alias("snapnum"), "step", F.col("scale_factor").alias("a_from"))
+    return at.join(snapshots.select(F.col("snapnum").cast("int").alias("snapnum"), F.col("scale_factor").alias("a_to")), "snapnum")
+
+
+def in_steps(halos: DataFrame, of: DataFrame) -> DataFrame:
+    """Halos with the snapnum of the step in which their scale factor lies; those in none are dropped. There are as many
+    steps as snapshots of the simulation, whatever the input's size."""
+    a = F.col("a").cast("double")
+    return halos.join(F.broadcast(of.drop("step")), (a >= F.col("a_from")) & (a < F.col("a_to"))).drop("a_from", "a_to")
+
+
 def clean_halos(halos: DataFrame) -> DataFrame:
     """Halos with `tag` and `fragment`; rows with a null key or a position that is null, NaN or infinite are dropped."""
     fine = " and ".join(f"{c} is not null and not isnan({c}) and abs({c}) < double('infinity')" for c in "xyz")
@@ -20,17 +40,17 @@ def clean_halos(halos: DataFrame) -> DataFrame:
     return rows.withColumns({"tag": parent_tag(F.col("id")), "fragment": fragment_index(F.col("id"))})
 
 
-def deduped(halos: DataFrame) -> DataFrame:
-    """One row per (replication, tag): the least by a, x, y, z, fragment, with nulls first. The choice is an aggregate,
+def deduped(halos: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (replication, tag) of a shell: the least by a, x, y, z, fragment, with nulls first. The choice is an aggregate,
     so hot tags are combined before the shuffle."""
     first = F.min(F.struct("a", "x", "y", "z", "fragment", "id")).alias("r")
-    return halos.groupBy("replication", "tag").agg(first).select("replication", "tag", "r.*")
+    return halos.groupBy(*by, "replication", "tag").agg(first).select(*by, "replication", "tag", "r.*")
 
 
-def consistent(halos: DataFrame) -> DataFrame:
+def consistent(halos: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Of deduped halos, those whose fragment is that of their tag's first replication."""
-    first = halos.groupBy("tag").agg(F.min(F.struct("replication", "fragment")).alias("f")).select("tag", F.col("f.fragment").alias("fragment"))
-    return halos.join(first, ["tag", "fragment"])
+    first = halos.groupBy(*by, "tag").agg(F.min(F.struct("replication", "fragment")).alias("f")).select(*by, "tag", F.col("f.fragment").alias("fragment"))
+    return halos.join(first, [*by, "tag", "fragment"])
 
 
 def replications(halos: DataFrame) -> DataFrame:
@@ -39,26 +59,31 @@ def replications(halos: DataFrame) -> DataFrame:
 
 
 def cores_at(cores: DataFrame, snapnum: int, grid: int) -> DataFrame:
-    """Cores of a snapshot with tag > 0: core_tag, tag (of the FoF halo), signed (with its fragment), central, x, y, z,
+    """`placeable` cores of one snapshot."""
+    return placeable(cores.where(F.col("snapnum") == snapnum), grid)
+
+
+def placeable(cores: DataFrame, grid: int) -> DataFrame:
+    """Cores with tag > 0: snapnum, core_tag, tag (of the FoF halo), signed (with its fragment), central, x, y, z,
     and the Lagrangian place qx, qy, qz of the FoF tag."""
     q = lagrangian(F.col("tag"), grid)
-    rows = cores.where((F.col("snapnum") == snapnum) & (F.col("core_tag") > 0) & F.col("fof_halo_tag").isNotNull())
-    rows = rows.select("core_tag", parent_tag(F.col("fof_halo_tag")).alias("tag"), F.col("fof_halo_tag").alias("signed"), "central", "x", "y", "z")
+    rows = cores.where((F.col("core_tag") > 0) & F.col("fof_halo_tag").isNotNull())
+    rows = rows.select("snapnum", "core_tag", parent_tag(F.col("fof_halo_tag")).alias("tag"), F.col("fof_halo_tag").alias("signed"), "central", "x", "y", "z")
     return rows.withColumns(dict(zip(("qx", "qy", "qz"), q)))
 
 
-def matched(cores: DataFrame, halos: DataFrame) -> DataFrame:
+def matched(cores: DataFrame, halos: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """cores with halo_signed, the signed tag of the first replication of their halo; cores without one are dropped."""
-    first = halos.groupBy("tag").agg(F.min(F.struct("replication", "id")).alias("h")).select("tag", F.col("h.id").alias("halo_signed"))
-    return cores.join(first, "tag")
+    first = halos.groupBy(*by, "tag").agg(F.min(F.struct("replication", "id")).alias("h")).select(*by, "tag", F.col("h.id").alias("halo_signed"))
+    return cores.join(first, [*by, "tag"])
 
 
-def with_host_core(cores: DataFrame) -> DataFrame:
+def with_host_core(cores: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """matched cores with the host core of their halo: among the cores of its signed tag a central one, then the least
     tag; cores whose halo has none are dropped."""
-    best = cores.groupBy("signed").agg(F.max(F.struct((F.coalesce("central", F.lit(0)) == 1).cast("int").alias("c"), F.bitwise_not("core_tag").alias("n"), "x", "y", "z")).alias("b"))
-    hosts = best.select(F.col("signed").alias("halo_signed"), F.bitwise_not("b.n").alias("halo_core"), F.col("b.x").alias("hx"), F.col("b.y").alias("hy"), F.col("b.z").alias("hz"))
-    return cores.join(hosts, "halo_signed")
+    best = cores.groupBy(*by, "signed").agg(F.max(F.struct((F.coalesce("central", F.lit(0)) == 1).cast("int").alias("c"), F.bitwise_not("core_tag").alias("n"), "x", "y", "z")).alias("b"))
+    hosts = best.select(*by, F.col("signed").alias("halo_signed"), F.bitwise_not("b.n").alias("halo_core"), F.col("b.x").alias("hx"), F.col("b.y").alias("hy"), F.col("b.z").alias("hz"))
+    return cores.join(hosts, [*by, "halo_signed"])
 
 
 def offsets(cores: DataFrame, box: float) -> DataFrame:
@@ -67,13 +92,13 @@ def offsets(cores: DataFrame, box: float) -> DataFrame:
     return cores.withColumns(d).where(" and ".join(f"abs(d{c}) <= {FARTHEST}" for c in "xyz"))
 
 
-def replicated(cores: DataFrame, halos: DataFrame) -> DataFrame:
+def replicated(cores: DataFrame, halos: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """A row per core and replication of its halo: core_tag, replication, tag, halo_core, px, py, pz (the halo's
     position plus the core's offset), hx, hy, hz (the halo's), and own_fragment, whether both have the same signed tag.
     A hot tag joins few halos, one per replication, to many cores; adaptive execution splits the cores' side."""
-    h = halos.select("tag", "replication", "id", *(F.col(c).cast("double").alias(f"l{c}") for c in "xyz"))
-    rows = cores.drop("hx", "hy", "hz").join(h, "tag")
-    return rows.select("core_tag", "replication", "tag", "halo_core", *((F.col(f"l{c}") + F.col(f"d{c}")).alias(f"p{c}") for c in "xyz"), *(F.col(f"l{c}").alias(f"h{c}") for c in "xyz"), (F.col("signed") == F.col("id")).alias("own_fragment"))
+    h = halos.select(*by, "tag", "replication", "id", *(F.col(c).cast("double").alias(f"l{c}") for c in "xyz"))
+    rows = cores.drop("hx", "hy", "hz").join(h, [*by, "tag"])
+    return rows.select(*by, "core_tag", "replication", "tag", "halo_core", *((F.col(f"l{c}") + F.col(f"d{c}")).alias(f"p{c}") for c in "xyz"), *(F.col(f"l{c}").alias(f"h{c}") for c in "xyz"), (F.col("signed") == F.col("id")).alias("own_fragment"))
 
 
 def angles(rows: DataFrame) -> DataFrame:
@@ -94,3 +119,12 @@ def pipeline(cores: DataFrame, halos: DataFrame, snapnum: int, box: float, grid:
     good = consistent(deduped(clean_halos(halos)))
     at = offsets(with_host_core(matched(cores_at(cores, snapnum, grid), good)), box)
     return angles(replicated(at, good))
+
+
+def pipeline_of_steps(cores: DataFrame, halos: DataFrame, snapshots: DataFrame, box: float, grid: int) -> DataFrame:
+    """From raw halos and cores to cores on the lightcone at all steps, one plan of joins: what `pipeline` gives for each
+    step's halos and the cores of the snapshot after it, with step and snapnum."""
+    of = steps(snapshots)
+    good = consistent(deduped(in_steps(clean_halos(halos), of), SHELL), SHELL)
+    at = offsets(with_host_core(matched(placeable(cores, grid), good, SHELL), SHELL), box)
+    return angles(replicated(at, good, SHELL)).join(F.broadcast(of.select("snapnum", "step")), "snapnum")

@@ -196,7 +196,17 @@ def lc_pipeline(spark, folder):
     return out.groupBy("replication").agg(F.count("*").alias("n_cores"), F.countDistinct("tag").alias("n_halos"), F.sum(F.col("own_fragment").cast("long")).alias("n_own"))
 
 
-QUERIES = {f.__name__: f for f in (core_scan, core_host, core_top_host, core_secondary_host, core_group_count, core_host_tags, core_state, core_matrix, core_rows, core_lengths, core_positions, core_forest, core_orphans, core_root_order, satellite_to_central, core_union, lc_halos, lc_dedupe, lc_fragment_consistency, lc_replications, lc_step_map, lc_cores_at_step, lagrangian, lc_semi, lc_match, lc_host_core, lc_replicate, lc_angles, lc_output, lc_host_idx, lc_pipeline)} | {"unique_id": unique_ids, "lc_offsets": min_image}
+def _of_steps(spark, folder) -> DataFrame:
+    return lc.pipeline_of_steps(_fine(cores(spark, folder)), read_table(spark, folder, "lightcone_halos"), read_table(spark, folder, "sim_snapshots"), BOX, GRID)
+
+
+def lc_steps_pipeline(spark, folder):
+    """Cores on the lightcone at all its steps, each step's halos with the cores of the snapshot after it."""
+    rows = _of_steps(spark, folder)
+    return rows.select("step", "snapnum", "core_tag", "replication", "tag", "halo_core", "own_fragment", *(F.round(f"p{c}", 4).alias(f"p{c}") for c in "xyz"), *(F.round(c, 6).alias(c) for c in ("theta", "phi", "host_theta", "host_phi")))
+
+
+QUERIES = {f.__name__: f for f in (core_scan, core_host, core_top_host, core_secondary_host, core_group_count, core_host_tags, core_state, core_matrix, core_rows, core_lengths, core_positions, core_forest, core_orphans, core_root_order, satellite_to_central, core_union, lc_halos, lc_dedupe, lc_fragment_consistency, lc_replications, lc_step_map, lc_cores_at_step, lagrangian, lc_semi, lc_match, lc_host_core, lc_replicate, lc_angles, lc_output, lc_host_idx, lc_pipeline, lc_steps_pipeline)} | {"unique_id": unique_ids, "lc_offsets": min_image}
 
 _OK = "isfinite(x) AND isfinite(y) AND isfinite(z)"
 _CORES = """WITH RECURSIVE raw AS (SELECT core_tag, CAST(snapnum AS INT) AS snapnum, max(struct_pack(t := loaded_at, h := host_core, c := central, m := merged, g := fof_halo_tag, x := CAST(x AS DOUBLE), y := CAST(y AS DOUBLE), z := CAST(z AS DOUBLE))) AS r
@@ -222,6 +232,19 @@ _OFF = f"""{_LC}, df AS (SELECT *, {_MI.format('(x - hx)')} AS dx, {_MI.format('
 ok AS MATERIALIZED (SELECT * FROM df WHERE abs(dx) <= 20 AND abs(dy) <= 20 AND abs(dz) <= 20),
 rep AS MATERIALIZED (SELECT o.core_tag, h.replication, o.tag, o.halo_core, CAST(h.x AS DOUBLE) + o.dx AS px, CAST(h.y AS DOUBLE) + o.dy AS py, CAST(h.z AS DOUBLE) + o.dz AS pz, CAST(h.x AS DOUBLE) AS hx, CAST(h.y AS DOUBLE) AS hy, CAST(h.z AS DOUBLE) AS hz, o.signed = h.id AS own_fragment FROM ok o JOIN hg h USING (tag))"""
 _ANG = "round(acos({2} / sqrt({0} * {0} + {1} * {1} + {2} * {2})), 6) AS {3}theta, round((atan2({1}, {0}) + pi()) % (2 * pi()), 6) AS {3}phi"
+#: The same for all steps at once, with the snapshot in every key.
+_STEPS = f"""stp AS (SELECT s.step, CAST(s.snapnum + 1 AS INT) AS snapnum, s.scale_factor AS a_from, n.scale_factor AS a_to FROM sim_snapshots s JOIN sim_snapshots n ON n.snapnum = s.snapnum + 1),
+hc AS (SELECT stp.snapnum, h.*, CASE WHEN id < 0 THEN (-id) & 281474976710655 ELSE id END AS tag, CASE WHEN id < 0 THEN (-id) >> 48 ELSE 0 END AS fragment
+  FROM lightcone_halos h JOIN stp ON CAST(a AS DOUBLE) >= a_from AND CAST(a AS DOUBLE) < a_to WHERE id IS NOT NULL AND replication IS NOT NULL AND {_OK}),
+hd AS MATERIALIZED (SELECT snapnum, replication, tag, r.* FROM (SELECT snapnum, replication, tag, min(struct_pack(a := a, x := x, y := y, z := z, fragment := fragment, id := id)) AS r FROM hc GROUP BY 1, 2, 3)),
+hf AS (SELECT snapnum, tag, min(struct_pack(k := replication, fragment := fragment)).fragment AS fragment FROM hd GROUP BY 1, 2),
+hg AS MATERIALIZED (SELECT hd.* FROM hd JOIN hf USING (snapnum, tag, fragment)),
+mt AS MATERIALIZED (SELECT c.*, f.tag, c.fof_halo_tag AS signed, f.h.id AS halo_signed FROM c JOIN (SELECT snapnum, tag, min(struct_pack(k := replication, id := id)) AS h FROM hg GROUP BY 1, 2) f
+  ON f.snapnum = c.snapnum AND f.tag = CASE WHEN fof_halo_tag < 0 THEN (-fof_halo_tag) & 281474976710655 ELSE fof_halo_tag END WHERE core_tag > 0 AND {_OK}),
+hs AS (SELECT snapnum, signed AS halo_signed, core_tag AS halo_core, x AS hx, y AS hy, z AS hz FROM (SELECT *, row_number() OVER (PARTITION BY snapnum, signed ORDER BY coalesce(central, 0) = 1 DESC, core_tag) AS k FROM mt) WHERE k = 1),
+df AS (SELECT *, {_MI.format('(x - hx)')} AS dx, {_MI.format('(y - hy)')} AS dy, {_MI.format('(z - hz)')} AS dz FROM mt JOIN hs USING (snapnum, halo_signed)),
+rep AS MATERIALIZED (SELECT o.* EXCLUDE (x, y, z, hx, hy, hz), step, h.replication, h.a, h.id, CAST(h.x AS DOUBLE) + dx AS px, CAST(h.y AS DOUBLE) + dy AS py, CAST(h.z AS DOUBLE) + dz AS pz, CAST(h.x AS DOUBLE) AS hx, CAST(h.y AS DOUBLE) AS hy, CAST(h.z AS DOUBLE) AS hz
+  FROM df o JOIN hg h USING (snapnum, tag) JOIN stp USING (snapnum) WHERE abs(dx) <= 20 AND abs(dy) <= 20 AND abs(dz) <= 20)"""
 
 ORACLES = {
     "core_scan": f"{_CORES} SELECT core_tag, snapnum, round((x + {BOX}) % {BOX}, 6) AS x, round((y + {BOX}) % {BOX}, 6) AS y, round((z + {BOX}) % {BOX}, 6) AS z FROM c WHERE {_OK}",
@@ -257,4 +280,5 @@ ORACLES = {
     "lc_output": f"{_OFF} SELECT core_tag, replication, {AT} AS snapnum, tag AS lc_halo_foftag, round(hx, 6) AS lc_halo_x, round(hy, 6) AS lc_halo_y, round(hz, 6) AS lc_halo_z, {_ANG.format('px', 'py', 'pz', '')}, {_ANG.format('hx', 'hy', 'hz', 'lc_halo_')} FROM rep",
     "lc_host_idx": f"{_TOP}, {_OFF.removeprefix(_CORES).lstrip(', ')} SELECT r.core_tag, r.replication, coalesce(b.core_tag, -1) AS top FROM rep r LEFT JOIN tr ON tr.snapnum = {AT} AND tr.core_tag = r.core_tag LEFT JOIN rep b ON b.replication = r.replication AND b.core_tag = tr.path[1]",
     "lc_pipeline": f"{_OFF} SELECT replication, count(*) AS n_cores, count(DISTINCT tag) AS n_halos, count(*) FILTER (own_fragment) AS n_own FROM rep GROUP BY 1",
+    "lc_steps_pipeline": f"{_CORES}, {_STEPS} SELECT step, snapnum, core_tag, replication, tag, halo_core, signed = id AS own_fragment, round(px, 4) AS px, round(py, 4) AS py, round(pz, 4) AS pz, {_ANG.format('px', 'py', 'pz', '')}, {_ANG.format('hx', 'hy', 'hz', 'host_')} FROM rep",
 }
