@@ -108,7 +108,8 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 def _garbled(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
-    return mojibake.find(docs, "text", ["doc_id"], mojibake.train(docs, "text"))
+    first = mojibake.train(docs, "text")
+    return mojibake.find(docs, "text", ["doc_id"], mojibake.train(docs, "text", first))
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -250,3 +250,34 @@ def test_found_and_restored(spark, model):
 def test_training_on_nothing(spark):
     m = mojibake.train(spark.createDataFrame([], "text string"), "text")
     assert mojibake.repair("so weit so gut", m).affected is False
+
+
+def test_lines_garbled_in_part(model):
+    """The garbled passage of a line is restored, and what is intact around it stays."""
+    gbk = "請求項に".encode().decode("gbk")
+    assert len(gbk) == 6
+    mac = "größer für".encode("cp1252").decode("mac_roman")
+    latin = "отличающееся тем что привод имеет ширину".encode("cp1251").decode("latin-1")
+    for line, want in (
+        (f"前記電池セルが可撓性のものである、{gbk}記載の触媒層。冷却流路の温度を超えると薄膜側へ移動する。", "前記電池セルが可撓性のものである、請求項に記載の触媒層。冷却流路の温度を超えると薄膜側へ移動する。"),
+        (f"Verfahren gemäß Anspruch zur Herstellung {mac} Gehäuse möglich", "Verfahren gemäß Anspruch zur Herstellung größer für Gehäuse möglich"),
+        (f"Устройство по любому из пунктов {latin} корпуса клапана", "Устройство по любому из пунктов отличающееся тем что привод имеет ширину корпуса клапана"),
+    ):
+        got = mojibake.repair("clean line\n" + line, model)
+        assert got.affected and got.text == "clean line\n" + want, got
+
+
+def test_clean_lines_have_no_passages(model):
+    rng = random.Random(7)
+    for _ in range(300):
+        line = _line(rng, rng.choice(list(WORDS)))
+        assert not mojibake.best_passages(line, model, mojibake.MARGIN)
+
+
+def test_cases_of_the_first_model_do_not_count_in_the_second(spark, model):
+    rng = random.Random(8)
+    clean = _text(rng, "ru")
+    garbled = _line(rng, "ru").encode("koi8-r", "ignore").decode("cp1251")
+    df = spark.createDataFrame([(clean,), (clean + "\n" + garbled,)], "text string").repartition(2)
+    assert mojibake.train(df, "text").chars.sum() > 2 * len(clean)
+    assert mojibake.train(df, "text", model).chars.sum() == len(clean) + 2
