@@ -37,18 +37,26 @@ def reorganize(spark: SparkSession, path: str, n_files: int = 16) -> None:
 
 def intersect(spark: SparkSession, core_path: str, halo_path: str, output: str, snapnum: int, step: int, box: float, grid: int) -> None:
     """Cores of one snapshot onto the halos of a lightcone step."""
-    sinks.write_lightcone(lightcone.pipeline(_cores(spark, core_path), spark.read.parquet(halo_path), snapnum, box, grid), output, step)
+    rows = _cores(spark, core_path)
+    placed = lightcone.pipeline(rows, spark.read.parquet(halo_path), snapnum, box, grid, _infall(rows))
+    sinks.write_lightcone(lightcone.output(placed, rows.where(F.col("snapnum") == snapnum), keep=_infall(rows)), output, step)
 
 
 def intersect_steps(spark: SparkSession, core_path: str, halo_path: str, snapshot_path: str, output: str, box: float, grid: int) -> None:
     """Cores of all snapshots onto the halos of a whole lightcone, step by step as the table of snapshots has them."""
-    sinks.write_lightcone(lightcone.pipeline_of_steps(_cores(spark, core_path), spark.read.parquet(halo_path), spark.read.parquet(snapshot_path), box, grid), output)
+    rows = _cores(spark, core_path)
+    placed = lightcone.pipeline_of_steps(rows, spark.read.parquet(halo_path), spark.read.parquet(snapshot_path), box, grid, _infall(rows))
+    sinks.write_lightcone(lightcone.output(placed, rows, lightcone.SHELL, _infall(rows)), output)
+
+
+def _infall(rows: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in rows.columns if c.startswith("infall_fof_halo_center_"))
 
 
 def _cores(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(path).withColumn("snapnum", F.col("snapnum").cast("int"))
     if "loaded_at" in rows.columns:
-        rows = keyed(rows, cores.KEY, ["central", "merged", "host_core", "fof_halo_tag", "x", "y", "z"])
+        rows = keyed(rows, cores.KEY, ["central", "merged", "host_core", "fof_halo_tag", "x", "y", "z", *_infall(rows)])
     return rows
 
 

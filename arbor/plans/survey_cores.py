@@ -16,9 +16,13 @@ from ..sources.tables import read_table
 BOX, LAST, AT, GRID = 512.0, 100, 90, 10752
 
 
-def cores(spark, folder) -> DataFrame:
-    rows = keyed(read_table(spark, folder, "coreproperties"), ["core_tag", "snapnum"], ["host_core", "central", "merged", "fof_halo_tag", "x", "y", "z"])
-    return rows.select("core_tag", F.col("snapnum").cast("int").alias("snapnum"), "host_core", "central", "merged", "fof_halo_tag", *(F.col(c).cast("double").alias(c) for c in "xyz"))
+#: Columns of cores that are written with them on the lightcone and not used otherwise.
+INFALL = tuple(f"infall_fof_halo_center_{c}" for c in "xyz")
+
+
+def cores(spark, folder, more: tuple[str, ...] = ()) -> DataFrame:
+    rows = keyed(read_table(spark, folder, "coreproperties"), ["core_tag", "snapnum"], ["host_core", "central", "merged", "fof_halo_tag", "x", "y", "z", *more])
+    return rows.select("core_tag", F.col("snapnum").cast("int").alias("snapnum"), "host_core", "central", "merged", "fof_halo_tag", *(F.col(c).cast("double").alias(c) for c in ("x", "y", "z", *more)))
 
 
 def _fine(rows: DataFrame) -> DataFrame:
@@ -188,7 +192,7 @@ def lc_output(spark, folder):
 
 def lc_host_idx(spark, folder):
     tops = co.top_hosts(cores(spark, folder).where(F.col("snapnum") == AT))
-    return lc.host_rows(_replicated(spark, folder), tops).select("core_tag", "replication", F.when(F.col("top_there"), F.col("top")).otherwise(F.lit(-1)).alias("top"))
+    return lc.host_rows(_replicated(spark, folder), tops, levels=("top",)).select("core_tag", "replication", F.when(F.col("top_there"), F.col("top")).otherwise(F.lit(-1)).alias("top"))
 
 
 def lc_pipeline(spark, folder):
@@ -196,8 +200,8 @@ def lc_pipeline(spark, folder):
     return out.groupBy("replication").agg(F.count("*").alias("n_cores"), F.countDistinct("tag").alias("n_halos"), F.sum(F.col("own_fragment").cast("long")).alias("n_own"))
 
 
-def _of_steps(spark, folder) -> DataFrame:
-    return lc.pipeline_of_steps(_fine(cores(spark, folder)), read_table(spark, folder, "lightcone_halos"), read_table(spark, folder, "sim_snapshots"), BOX, GRID)
+def _of_steps(spark, folder, more: tuple[str, ...] = ()) -> DataFrame:
+    return lc.pipeline_of_steps(_fine(cores(spark, folder, more)), read_table(spark, folder, "lightcone_halos"), read_table(spark, folder, "sim_snapshots"), BOX, GRID, more)
 
 
 def lc_steps_pipeline(spark, folder):
@@ -206,7 +210,14 @@ def lc_steps_pipeline(spark, folder):
     return rows.select("step", "snapnum", "core_tag", "replication", "tag", "halo_core", "own_fragment", *(F.round(f"p{c}", 4).alias(f"p{c}") for c in "xyz"), *(F.round(c, 6).alias(c) for c in ("theta", "phi", "host_theta", "host_phi")))
 
 
-QUERIES = {f.__name__: f for f in (core_scan, core_host, core_top_host, core_secondary_host, core_group_count, core_host_tags, core_state, core_matrix, core_rows, core_lengths, core_positions, core_forest, core_orphans, core_root_order, satellite_to_central, core_union, lc_halos, lc_dedupe, lc_fragment_consistency, lc_replications, lc_step_map, lc_cores_at_step, lagrangian, lc_semi, lc_match, lc_host_core, lc_replicate, lc_angles, lc_output, lc_host_idx, lc_pipeline, lc_steps_pipeline)} | {"unique_id": unique_ids, "lc_offsets": min_image}
+def lc_steps_output(spark, folder):
+    """The same with all fields that are written, both hosts among them."""
+    rows = lc.output(_of_steps(spark, folder, INFALL), cores(spark, folder), lc.SHELL, INFALL)
+    rounded = {c: 4 for c in "xyz"} | dict.fromkeys(("theta", "phi", "scale_factor", *(f"lc_halo_{c}" for c in ("x", "y", "z", "theta", "phi")), *INFALL), 6)
+    return rows.withColumns({c: F.round(F.col(c).cast("double"), n) for c, n in rounded.items()})
+
+
+QUERIES = {f.__name__: f for f in (core_scan, core_host, core_top_host, core_secondary_host, core_group_count, core_host_tags, core_state, core_matrix, core_rows, core_lengths, core_positions, core_forest, core_orphans, core_root_order, satellite_to_central, core_union, lc_halos, lc_dedupe, lc_fragment_consistency, lc_replications, lc_step_map, lc_cores_at_step, lagrangian, lc_semi, lc_match, lc_host_core, lc_replicate, lc_angles, lc_output, lc_host_idx, lc_pipeline, lc_steps_pipeline, lc_steps_output)} | {"unique_id": unique_ids, "lc_offsets": min_image}
 
 _OK = "isfinite(x) AND isfinite(y) AND isfinite(z)"
 _CORES = """WITH RECURSIVE raw AS (SELECT core_tag, CAST(snapnum AS INT) AS snapnum, max(struct_pack(t := loaded_at, h := host_core, c := central, m := merged, g := fof_halo_tag, x := CAST(x AS DOUBLE), y := CAST(y AS DOUBLE), z := CAST(z AS DOUBLE))) AS r
@@ -245,6 +256,7 @@ hs AS (SELECT snapnum, signed AS halo_signed, core_tag AS halo_core, x AS hx, y
 df AS (SELECT *, {_MI.format('(x - hx)')} AS dx, {_MI.format('(y - hy)')} AS dy, {_MI.format('(z - hz)')} AS dz FROM mt JOIN hs USING (snapnum, halo_signed)),
 rep AS MATERIALIZED (SELECT o.* EXCLUDE (x, y, z, hx, hy, hz), step, h.replication, h.a, h.id, CAST(h.x AS DOUBLE) + dx AS px, CAST(h.y AS DOUBLE) + dy AS py, CAST(h.z AS DOUBLE) + dz AS pz, CAST(h.x AS DOUBLE) AS hx, CAST(h.y AS DOUBLE) AS hy, CAST(h.z AS DOUBLE) AS hz
   FROM df o JOIN hg h USING (snapnum, tag) JOIN stp USING (snapnum) WHERE abs(dx) <= 20 AND abs(dy) <= 20 AND abs(dz) <= 20)"""
+_STEPS_TOP = _TOP.replace("z := CAST(z AS DOUBLE)", "z := CAST(z AS DOUBLE), " + ", ".join(f"{c} := CAST({c} AS DOUBLE)" for c in INFALL)).replace("r.z AS z", "r.z AS z, " + ", ".join(f"r.{c} AS {c}" for c in INFALL))
 
 ORACLES = {
     "core_scan": f"{_CORES} SELECT core_tag, snapnum, round((x + {BOX}) % {BOX}, 6) AS x, round((y + {BOX}) % {BOX}, 6) AS y, round((z + {BOX}) % {BOX}, 6) AS z FROM c WHERE {_OK}",
@@ -280,5 +292,6 @@ ORACLES = {
     "lc_output": f"{_OFF} SELECT core_tag, replication, {AT} AS snapnum, tag AS lc_halo_foftag, round(hx, 6) AS lc_halo_x, round(hy, 6) AS lc_halo_y, round(hz, 6) AS lc_halo_z, {_ANG.format('px', 'py', 'pz', '')}, {_ANG.format('hx', 'hy', 'hz', 'lc_halo_')} FROM rep",
     "lc_host_idx": f"{_TOP}, {_OFF.removeprefix(_CORES).lstrip(', ')} SELECT r.core_tag, r.replication, coalesce(b.core_tag, -1) AS top FROM rep r LEFT JOIN tr ON tr.snapnum = {AT} AND tr.core_tag = r.core_tag LEFT JOIN rep b ON b.replication = r.replication AND b.core_tag = tr.path[1]",
     "lc_pipeline": f"{_OFF} SELECT replication, count(*) AS n_cores, count(DISTINCT tag) AS n_halos, count(*) FILTER (own_fragment) AS n_own FROM rep GROUP BY 1",
+    "lc_steps_output": f"{_STEPS_TOP}, {_STEPS} SELECT r.step, r.snapnum, r.core_tag, r.replication, r.central, {_ANG.format('px', 'py', 'pz', '')}, round(px, 4) AS x, round(py, 4) AS y, round(pz, 4) AS z, r.signed AS fof_halo_tag, round(CAST(a AS DOUBLE), 6) AS scale_factor, round(hx, 6) AS lc_halo_x, round(hy, 6) AS lc_halo_y, round(hz, 6) AS lc_halo_z, {_ANG.format('hx', 'hy', 'hz', 'lc_halo_')}, r.tag AS lc_halo_foftag, r.id AS lc_fof_halo_tag, r.signed <> r.id AS lc_fof_halo_flag, coalesce(t.top, -1) AS top_host_tag, coalesce(t.second, -1) AS secondary_top_host_tag, CASE WHEN b1.k IS NULL THEN -1 ELSE t.top END AS top_host_idx, CASE WHEN b2.k IS NULL THEN -1 ELSE t.second END AS secondary_top_host_idx, {', '.join(f'round({c}, 6) AS {c}' for c in INFALL)} FROM rep r LEFT JOIN (SELECT snapnum AS s, core_tag AS k, path[1] AS top, CASE WHEN len(path) >= 3 THEN path[2] END AS second FROM tr) t ON t.s = r.snapnum AND t.k = r.core_tag LEFT JOIN (SELECT snapnum AS s, replication AS p, core_tag AS k FROM rep) b1 ON b1.s = r.snapnum AND b1.p = r.replication AND b1.k = t.top LEFT JOIN (SELECT snapnum AS s, replication AS p, core_tag AS k FROM rep) b2 ON b2.s = r.snapnum AND b2.p = r.replication AND b2.k = t.second",
     "lc_steps_pipeline": f"{_CORES}, {_STEPS} SELECT step, snapnum, core_tag, replication, tag, halo_core, signed = id AS own_fragment, round(px, 4) AS px, round(py, 4) AS py, round(pz, 4) AS pz, {_ANG.format('px', 'py', 'pz', '')}, {_ANG.format('hx', 'hy', 'hz', 'host_')} FROM rep",
 }

@@ -28,8 +28,9 @@ def write_cores(rows: DataFrame, path: str, n_files: int) -> None:
 def write_lightcone(rows: DataFrame, path: str, step: int | None = None, cells: int = 64) -> None:
     """Cores on the lightcone by step and cell of the sky, a halo's cores in the cell of the halo; the extent of each cell
     in theta and phi is beside them, as `extent`. Without a step given, rows have theirs in `step`."""
-    cell = (F.floor(F.col("host_phi") * cells / 6.283185307179586) * cells + F.floor(F.col("host_theta") * cells / 3.141592653589794)).cast("int")
+    name = "lc_halo" if "lc_halo_phi" in rows.columns else "host"
+    cell = (F.floor(F.col(f"{name}_phi") * cells / 6.283185307179586) * cells + F.floor(F.col(f"{name}_theta") * cells / 3.141592653589794)).cast("int")
     placed = rows.withColumns({"step": F.col("step") if step is None else F.lit(step), "cell": cell})
     placed.repartition("step", "cell").write.partitionBy("step", "cell").mode("append").parquet(f"{path}/cores")
-    extent = placed.groupBy("step", "cell").agg(*(f(c).alias(f"{n}_{c}") for c in ("host_theta", "host_phi") for n, f in (("min", F.min), ("max", F.max))), F.count("*").alias("n_cores"))
+    extent = placed.groupBy("step", "cell").agg(*(f(c).alias(f"{n}_{c}") for c in (f"{name}_theta", f"{name}_phi") for n, f in (("min", F.min), ("max", F.max))), F.count("*").alias("n_cores"))
     extent.coalesce(1).write.mode("append").parquet(f"{path}/extent")

@@ -40,10 +40,13 @@ def test_steps_are_written_apart(spark, tmp_path):
         df.write.parquet(str(tmp_path / name))
     cli.intersect_steps(spark, *(str(tmp_path / n) for n in ("c", "h", "s", "out")), 64.0, 16)
     back = spark.read.parquet(str(tmp_path / "out" / "cores"))
+    hosts = {(r.core_tag, r.replication): (r.top_host_idx, r.secondary_top_host_tag, r.secondary_top_host_idx) for r in back.where("step = 20").collect()}
+    assert hosts[3, 0] == hosts[3, 1] == (1, 2, 2) and hosts[2, 0] == hosts[1, 0] == (1, -1, -1)
+    assert {"scale_factor", "central", "x", "y", "z", "lc_fof_halo_tag", "lc_fof_halo_flag", "lc_halo_theta"} <= set(back.columns)
     assert {r.step: r["count"] for r in back.groupBy("step").count().collect()} == {10: 3, 20: 6}
 
 
-@pytest.mark.parametrize("name", ["lc_steps_pipeline"])
+@pytest.mark.parametrize("name", ["lc_steps_pipeline", "lc_steps_output"])
 def test_steps_match_sql(spark, name):
     con = duckdb.connect()
     for f in os.listdir(TINY):
