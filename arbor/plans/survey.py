@@ -74,6 +74,12 @@ def forest_chunk(spark, folder, chunk: int = 1, n_chunks: int = 5):
     return _nodes(spark, folder).join(mine, "root", "left_semi").select("id", "root", "idx")
 
 
+def forest_chunks(spark, folder, n_chunks: int = 5):
+    """The trees of all chunks, each with its chunk; the last one holds the remainder."""
+    tops = fo.roots(_nodes(spark, folder)).where(F.col("snapnum") == LAST).select("root")
+    return _nodes(spark, folder).join(fo.chunk_of_roots(tops, F.col("root"), n_chunks).select("root", "chunk"), "root").select("chunk", "id", "root", "idx")
+
+
 def subtree_targets(spark, folder):
     return fo.subtrees(_nodes(spark, folder), _targets(spark, folder)).select("target", "id", "place")
 
@@ -332,7 +338,7 @@ def fsub_stats_rows(spark, folder):
 
 
 QUERIES = {
-    **{f.__name__: f for f in (forest_scan, forest_projection, forest_z0_roots, forest_chunk, subtree_targets, subtree_slice, catalog_clean, quality_metrics, scale_factor, redshift, hubble, virial_overdensity, lookback, fragment_split, xoff, min_image, copy_rename, mass_bin_targets, descendant_join, orphans_anti, orphans_to_roots, descendant_idx, progenitor_csr, csr_offsets, progenitor_count, branch_size, dfs_order, root_label, branch_ids, mainbranch, mainbranch_mass, mean_mass_growth, nth_progenitor, merger_probability, merger_rate, last_major_merger, most_massive, infall_hist, mass_prune, mass_prune_size, adjacency_coo, tree_extract, root_order, sibling_order, fragfix_const, fragfix_linear, sub_rows, sub_offsets)},
+    **{f.__name__: f for f in (forest_scan, forest_projection, forest_z0_roots, forest_chunk, forest_chunks, subtree_targets, subtree_slice, catalog_clean, quality_metrics, scale_factor, redshift, hubble, virial_overdensity, lookback, fragment_split, xoff, min_image, copy_rename, mass_bin_targets, descendant_join, orphans_anti, orphans_to_roots, descendant_idx, progenitor_csr, csr_offsets, progenitor_count, branch_size, dfs_order, root_label, branch_ids, mainbranch, mainbranch_mass, mean_mass_growth, nth_progenitor, merger_probability, merger_rate, last_major_merger, most_massive, infall_hist, mass_prune, mass_prune_size, adjacency_coo, tree_extract, root_order, sibling_order, fragfix_const, fragfix_linear, sub_rows, sub_offsets)},
     "branch_matrix": branch_matrix_rows, "branch_hosts": branch_host_rows, "sub_hosts": sub_host_rows, "submass": submass_rows, "fsub_stats": fsub_stats_rows,
 }
 
@@ -373,6 +379,7 @@ ORACLES = {
     "forest_scan": f"{_TREE} SELECT id, coalesce(dsc, -1) AS desc, snapnum, mass, root, idx, size, progenitor_count, round({_A.format(_STEP)}, 9) AS scale_factor FROM nodes JOIN sizes USING (id) JOIN cnt USING (id)",
     "forest_projection": f"{_TREE} SELECT id, coalesce(dsc, -1) AS desc, snapnum, size FROM nodes JOIN sizes USING (id)",
     "forest_z0_roots": f"{_TREE} SELECT id, root, idx FROM nodes WHERE root IN (SELECT id FROM nodes WHERE dsc IS NULL AND snapnum = {LAST})",
+    "forest_chunks": f"{_TREE}, o AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS k, count(*) OVER () AS n FROM nodes WHERE dsc IS NULL AND snapnum = {LAST}) SELECT least(k // greatest(1, n // 5), 4) AS chunk, nodes.id, root, idx FROM nodes JOIN o ON o.id = root",
     "forest_chunk": f"{_TREE}, o AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS k, count(*) OVER () AS n FROM nodes WHERE dsc IS NULL AND snapnum = {LAST}) SELECT id, root, idx FROM nodes WHERE root IN (SELECT id FROM o WHERE least(k // greatest(1, n // 5), 4) = 1)",
     "subtree_targets": f"{_TREE}, a AS (SELECT id, idx, unnest(anc) AS target FROM nodes) SELECT a.target, a.id, a.idx - t.idx AS place FROM a JOIN nodes t ON t.id = a.target WHERE a.target IN (SELECT id FROM targets)",
     "subtree_slice": f"{_TREE}, a AS (SELECT snapnum, unnest(anc) AS target FROM nodes) SELECT target, count(*) AS n, min(snapnum) AS first_snap FROM a WHERE target IN (SELECT id FROM nodes WHERE snapnum = 50 AND mass > {LOW}) GROUP BY 1",
