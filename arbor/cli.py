@@ -24,7 +24,7 @@ def convert(spark: SparkSession, path: str) -> None:
         raise ValueError("there are halos whose descendant is missing")
     built = forest.build(catalog)
     extra = with_derived(rows, list(c.derived), c.simulation.rl).select(F.col(name("tree_node_index")).alias("id"), *(F.col(a).alias(b) for a, b in c.copy if b not in built.nodes.columns), *c.derived)
-    sinks.write_forest(built.nodes.join(extra, "id"), c.output, c.n_files)
+    sinks.write_forest(built.nodes.join(extra, "id"), c.output, sinks.files_for(built.nodes) if c.n_files is None else c.n_files)
 
 
 def reorganize(spark: SparkSession, path: str, n_files: int = 16) -> None:

@@ -14,7 +14,7 @@ from ..functions.simulation import SIMULATIONS, Simulation
 @dataclass(frozen=True)
 class ForestConfig:
     """columns maps names of columns to those in the catalogs; copy holds pairs of source and output
-    columns, derived names derived columns, fail_on_missing makes a missing descendant an error."""
+    columns, derived names derived columns, n_files (none: as many as the rows want), fail_on_missing makes a missing descendant an error."""
 
     simulation: Simulation
     catalogs: str
@@ -22,7 +22,7 @@ class ForestConfig:
     columns: dict[str, str]
     copy: tuple[tuple[str, str], ...] = ()
     derived: tuple[str, ...] = ()
-    n_files: int = 1
+    n_files: int | None = None
     fail_on_missing: bool = False
 
 
@@ -44,7 +44,7 @@ def forest_config(path: str) -> ForestConfig:
     output = ini["output"]
     return ForestConfig(
         _simulation(ini["simulation"]["simulation"], beside), str((beside / ini["input"]["treenodes_base_path"]).resolve()), str((beside / output["output_file"]).resolve()),
-        dict(ini["columns"]) if "columns" in ini else {}, copy, tuple(json.loads(fields.get("derived_fields", "[]"))), output.getint("n_files", 1), ini.getboolean("algorithm", "fail_on_desc_not_found", fallback=False),
+        dict(ini["columns"]) if "columns" in ini else {}, copy, tuple(json.loads(fields.get("derived_fields", "[]"))), output.getint("n_files"), ini.getboolean("algorithm", "fail_on_desc_not_found", fallback=False),
     )
 
 

@@ -6,6 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a forest file where the number of files isn't given.
+ROWS_A_FILE = 2_000_000
+
+
+def files_for(nodes: DataFrame) -> int:
+    """The number of files for `nodes`, so that each has about ROWS_A_FILE rows."""
+    return max(1, -(-nodes.count() // ROWS_A_FILE))
+
+
 def write_forest(nodes: DataFrame, path: str, n_files: int) -> None:
     """`n_files` closed files: every tree lies whole in one of them, in depth-first order, trees by root. One file
     (n_files = 1) is for small forests; a large one wants some hundred MB a file."""
