@@ -109,7 +109,8 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 def _garbled(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     first = mojibake.train(docs, "text")
-    return mojibake.find(docs, "text", ["doc_id"], mojibake.train(docs, "text", first))
+    close = cut(mojibake.suspects(docs, "text", ["doc_id"], first), "suspects")
+    return mojibake.find(close, "text", ["doc_id"], mojibake.without(first, close, "text"))
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
