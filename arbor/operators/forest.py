@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..plans.cut import cut
-from .hierarchy import chain_facts, chain_steps, label_chains, peel, pick_heirs
+from .hierarchy import chain_steps, hand_down, resolve
 from .prefix import exclusive_sum, falling_bin
 
 
@@ -49,27 +49,22 @@ def build(catalog: DataFrame) -> Forest:
     """The forest of catalog (id, desc, snapnum, mass), one row per id, masses finite; orphans become roots. An empty
     catalog gives an empty forest. Links lead to the next snapshot, so there are no loops."""
     halos = cut(orphans_to_roots(catalog), "halos")
-    links = halos.select(F.lit(-1).alias("scope"), "id", F.col("desc").alias("parent"), F.col("mass").alias("weight"))
-    peeled = peel(label_chains(pick_heirs(links)))
-    every = None
-    for r in peeled.rounds:
-        every = r if every is None else every.unionByName(r)
-    if every is None:
-        every = peeled.chains.nodes.limit(0).select("scope", "chain", "parent", F.lit(0).cast("long").alias("pchain"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("length"), F.lit(0).cast("long").alias("total"))
-    heads = halos.select(F.col("id").alias("chain"), F.col("snapnum").alias("head_snap"), F.col("mass").alias("head_mass"))
-    table = cut(every.join(heads, "chain"), "branches")
-    merging = table.where("pchain is not null")
-    placed = exclusive_sum(merging, ["pchain"], [F.col("head_snap"), falling_bin(F.col("head_mass"))], [F.col("head_mass").desc(), F.col("chain")], F.col("total"), "before")
-    lengths = table.select(F.col("chain").alias("pchain"), F.col("length").alias("plength"))
-    gaps = placed.join(lengths, "pchain").select("scope", "chain", (F.col("before") + F.col("plength")).alias("gap"))
-    steps = chain_steps(peeled)
-    facts = chain_facts(peeled, steps, cut(gaps, "gaps"))
-    known = table.join(facts.drop("scope"), "chain")
-    branches = cut(known.select(F.col("chain").alias("branch"), "root", F.col("pchain").alias("pbranch"), "at", "head_snap", "head_mass", "length", "total", "base", "pos", "prefix"), "branches")
-    places = steps.drop("scope").withColumnRenamed("chain", "branch").join(branches.select("branch", "root", "pbranch", "at", "base", "pos"), "branch").select("*", F.posexplode("steps").alias("k", "s"))
-    sized = places.select("branch", "root", "pbranch", "at", "base", "pos", F.col("k").cast("long").alias("d"), F.col("s.id").alias("id"), (F.col("s.n_descendants") + 1).alias("size"))
-    nodes = halos.join(sized, "id").select("id", "desc", "snapnum", "mass", "branch", "d", "root", (F.col("base") + F.col("d")).alias("depth"), "size", (F.col("pos") + F.col("d")).alias("idx"), "pbranch", "at")
-    return Forest(cut(nodes, "forest"), branches.drop("base", "pos"))
+    peeled = resolve(halos.select(F.lit(-1).alias("scope"), "id", F.col("desc").alias("parent"), F.col("mass").alias("weight"), F.struct("snapnum", "mass").alias("note")))
+    chains = peeled.chains.select("scope", "chain", "parent", "pchain", "at", "length", "total", "round").join(chain_steps(peeled), ["scope", "chain"])
+    head = F.col("steps")[0]["note"]
+    table = cut(chains.select("*", head["snapnum"].alias("head_snap"), head["mass"].alias("head_mass")), "branches")
+    merging = table.where("pchain is not null").select("chain", "pchain", "head_snap", "head_mass", "total")
+    placed = exclusive_sum(merging, ["pchain"], [F.col("head_snap"), falling_bin(F.col("head_mass"))], [F.col("head_mass").desc(), F.col("chain")], F.col("total"), "gap")
+    known = hand_down(peeled, table.join(placed.select("chain", "gap"), "chain", "left"), gap=True).read()
+    branches = known.select(F.col("chain").alias("branch"), "root", F.col("pchain").alias("pbranch"), "at", "head_snap", "head_mass", "length", "total", "prefix")
+    below = F.when(F.col("k") == 0, F.col("parent")).otherwise(F.col("s.desc"))
+    steps = F.transform("steps", lambda s, i: F.struct(s["id"].alias("id"), s["note"].alias("note"), s["n_descendants"].alias("n"), F.when(i > 0, F.get("steps", i - 1)["id"]).alias("desc")))
+    rows, d = known.select("chain", "root", "parent", "pchain", "at", "base", "pos", F.posexplode(steps).alias("k", "s")), F.col("k").cast("long")
+    nodes = rows.select(
+        "s.id", below.alias("desc"), "s.note.snapnum", "s.note.mass", F.col("chain").alias("branch"), d.alias("d"), "root", (F.col("base") + d).alias("depth"), (F.col("s.n") + 1).alias("size"),
+        (F.col("pos") + d).alias("idx"), F.col("pchain").alias("pbranch"), "at",
+    )
+    return Forest(cut(nodes, "forest"), branches)
 
 
 def roots(nodes: DataFrame) -> DataFrame:

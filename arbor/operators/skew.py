@@ -27,3 +27,16 @@ def salted_aggregate(df: DataFrame, key: str, sums: dict[str, Column], heavy: li
     partial = rows.withColumn("salt", salt).groupBy("key", "salt").agg(F.count("*").alias("n_rows"), *(F.sum(f"s_{k}").alias(k) for k in sums))
     merged = partial.groupBy("key").agg(F.sum("n_rows").alias("n_rows"), *(F.coalesce(F.sum(k), F.lit(0.0)).alias(k) for k in sums))
     return merged.withColumnRenamed("key", key)
+
+
+def join_hot(left: DataFrame, right: DataFrame, on: list[str], hot_column: str, hot: list, scatter: Column, how: str = "inner", salts: int = 64) -> DataFrame:
+    """`left` joined ("inner" or "left") with `right`, which has one row per `on`, where a few values of `hot_column`, one
+    of `on`, may hold most rows of `left`. Rows of the values in `hot` get a salt from `scatter`, a whole-number column
+    that tells rows apart, and their few partners are repeated for each salt; rows with a null there match nothing and are scattered
+    over all tasks."""
+    spread = lambda n: F.pmod(F.xxhash64(scatter), F.lit(n)).cast("int")
+    key, ones, every = F.col(hot_column), F.array(F.lit(0)), F.sequence(F.lit(0), F.lit(salts - 1))
+    is_hot = key.isin(hot) if hot else F.lit(False)
+    salted = left.withColumn("__salt", F.when(key.isNull(), spread(1009)).when(is_hot, spread(salts)).otherwise(F.lit(0)))
+    repeated = right.withColumn("__salt", F.explode(F.when(is_hot, every).otherwise(ones)) if hot else F.lit(0))
+    return salted.join(repeated, [*on, "__salt"], how).drop("__salt")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tags import parent_tag
-from ..operators.hierarchy import descendants, hierarchy, loop_nodes, resolve
+from ..operators.hierarchy import descendant_lists, hierarchy, loop_nodes, resolve
 from ..operators.records import keyed
 from ..operators.references import orphan_references, orphans_by_period
 from ..operators.skew import heavy_keys, salted_aggregate
@@ -97,7 +97,7 @@ def p5_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_descendants(spark: SparkSession, folder: str) -> DataFrame:
     """All descendants of each node: scope (-1: forest, else the cores' snapshot), id, descendant, distance."""
-    return descendants(hierarchy(resolve(links(spark, folder))))
+    return descendant_lists(resolve(links(spark, folder)))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p4_found, p4_tags, p4_sizes, p5_found, p5_tree, p5_descendants)}

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from .cut import shared_dir
+from .cut import app_dir
 
 _sent: set[str] = set()
 
@@ -23,7 +23,7 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(package.rglob("*.py")):
             z.write(p, p.relative_to(package.parent))
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/arbor/{package.name}-{sc.applicationId}.zip")
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{app_dir(spark)}/{package.name}.zip")
     out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
     out.write(held.getvalue())
     out.close()

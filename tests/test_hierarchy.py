@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from arbor.operators.hierarchy import descendants, hierarchy, loop_nodes, resolve
+from arbor.operators import hierarchy as hi
+from arbor.operators.hierarchy import descendant_lists, descendants, hierarchy, loop_nodes, resolve
 
 SCHEMA = "scope int, id long, parent long, weight double, root string, d int"
 
@@ -80,3 +81,35 @@ def test_empty(spark):
     assert loop_nodes(peeled).count() == 0
     assert hierarchy(peeled).count() == 0
     assert hierarchy(peeled, with_path=False).columns == ["scope", "id", "root", "depth", "n_descendants"]
+
+
+def test_lists_sent_up_and_plain_peeling(spark):
+    """Lists that are sent up hold the pairs of the paths; peeling a level per round gives the same, with more rounds."""
+    links = [(0, i, i + 1 if i < 20 else None) for i in range(1, 21)] + [(0, 100 + i, 5 + i % 9) for i in range(40)] + [(0, 200 + i, 100 + i // 2) for i in range(60)]
+    links += [(1, 1, 2), (1, 2, 1), (1, 3, 1), (1, 4, 3), (2, 7, 7), (2, 8, 7), (3, 1, 9)]
+    paths, loops, _ = brute(links)
+    want = sorted((s, a, i, len(p) - 1 - k) for (s, i), p in paths.items() if p for k, a in enumerate(p[:-1]))
+    rounds = []
+    for chained, tail in ((True, 0), (False, 0), (True, 60), (False, 30)):
+        peeled = resolve(spark.createDataFrame([(s, i, p, float(i % 3), "x", 1) for s, i, p in links], SCHEMA), chained, tail)
+        rounds.append(len(peeled.rounds))
+        assert {(r.scope, r.id) for r in loop_nodes(peeled).collect()} == loops
+        assert {(r.scope, r.id): r.path for r in hierarchy(peeled).collect()} == {k: p for k, p in paths.items() if k not in loops}
+        assert sorted((r.scope, r.id, r.descendant, r.distance) for r in descendant_lists(peeled).collect()) == want
+    assert rounds[0] < 5 and rounds[1] >= 20 and rounds[2] <= rounds[0] and rounds[3] < rounds[1]
+
+
+def test_loop_of_many(spark):
+    """Loops longer than a job's pointers reach, some hanging on nothing but themselves."""
+    links = [(0, i, (i + 1) % 70) for i in range(70)] + [(0, 100 + i, i) for i in range(70)] + [(0, 300, 300)]
+    check(spark, links)
+
+
+def test_hot_parents_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(hi, "LEAST_HOT", 3)
+    monkeypatch.setattr(hi, "TAIL", 0)
+    check(spark, [(0, 1, None), (0, 2, 1), (0, 3, 2)] + [(0, 10 + i, 1 + i % 3) for i in range(60)] + [(0, 100 + i, 10) for i in range(9)] + [(1, 1, 1)] + [(1, 2 + i, 1) for i in range(9)])
+
+
+def test_empty_lists(spark):
+    assert descendant_lists(resolve(spark.createDataFrame([], SCHEMA))).count() == 0
