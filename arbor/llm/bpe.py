@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 TOKENIZERS = "/opt/tokenizers"
 #: Fixed value: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: DuckDB in a worker: one thread, in memory only, nothing on local disks.
+DUCKDB = {"threads": 1, "memory_limit": "500MB", "max_temp_directory_size": "0B"}
 #: Chunks of text, and stretches of bytes, whose ids a worker process remembers; beyond that it begins anew.
 REMEMBERED = 200_000
 
@@ -45,6 +47,10 @@ FROM (SELECT *, max(round) OVER (PARTITION BY word) AS last FROM step) WHERE rou
 """
 
 
+#: The ids' pieces put together again in their order, still in the byte-level alphabet.
+JOINED = "SELECT word, string_agg(piece, '' ORDER BY pos) AS text FROM given_ids JOIN pieces USING (tok) GROUP BY word ORDER BY word"
+
+
 @lru_cache(maxsize=4)
 def vocabulary(path: str) -> dict[str, np.ndarray]:
     """The vocabulary file's ids of the 256 bytes and its merges (l, r, rank, new), and which pairs of bytes can meet
@@ -52,9 +58,7 @@ def vocabulary(path: str) -> dict[str, np.ndarray]:
     with open(path, encoding="utf-8") as f:
         model = json.load(f)["model"]
     ids, merges = model["vocab"], [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-    # byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on, in order
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    sign = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+    sign = alphabet()
     byte = {c: b for b, c in sign.items()}
     meet = np.zeros((256, 256), dtype=bool)
     for a, b in merges:
@@ -63,6 +67,23 @@ def vocabulary(path: str) -> dict[str, np.ndarray]:
     return {"bytes": num(ids[sign[b]] for b in range(256)), "l": num(ids[a] for a, _ in merges), "r": num(ids[b] for _, b in merges), "new": num(ids[a + b] for a, b in merges), "meet": meet}
 
 
+def alphabet() -> dict[int, str]:
+    """The sign of each byte in the vocabulary: printable bytes stand for themselves, the others for code points from 256 on, in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+@lru_cache(maxsize=4)
+def pieces(path: str) -> list[str | None]:
+    """The piece of each id, in signs; None for ids without one."""
+    with open(path, encoding="utf-8") as f:
+        ids = json.load(f)["model"]["vocab"]
+    out: list[str | None] = [None] * (max(ids.values()) + 1)
+    for piece, i in ids.items():
+        out[i] = piece
+    return out
+
+
 class Encoder:
     """Texts to ids, in one worker process. Texts are cut where no token can span, so that equal chunks are encoded
     once: at spaces into chunks, by the pattern into words, and at pairs of bytes that no merge joins into stretches.
@@ -74,7 +95,7 @@ class Encoder:
         import regex
 
         self.vocab, self.find = vocab, regex.compile(PATTERN).findall
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        self.db = duckdb.connect(config=DUCKDB)
         merges = pa.table({"l": vocab["l"], "r": vocab["r"], "rank": np.arange(len(vocab["l"]), dtype=np.int32), "new": vocab["new"]})
         self.db.register("given", merges)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
@@ -159,7 +180,29 @@ def _may_join(pieces: pa.Array) -> np.ndarray:
     return (off[1:] == off[:-1]) | ((a >= 9) & (a <= 13)) | ((a >= 28) & (a <= 31)) | wide
 
 
+class Decoder:
+    """Ids to texts, in one worker process: a query in DuckDB joins the ids with their pieces and aggregates these in order."""
+
+    def __init__(self, pieces: list[str], alphabet: dict[str, int]):
+        import duckdb
+
+        self.bytes, self.db = str.maketrans(alphabet), duckdb.connect(config=DUCKDB)
+        self.db.register("given", pa.table({"tok": pa.array(range(len(pieces)), pa.int32()), "piece": pa.array(pieces, pa.string())}))
+        self.db.execute("CREATE TABLE pieces AS SELECT * FROM given WHERE piece IS NOT NULL")
+
+    def decode(self, ids: pa.Array) -> list[str]:
+        lens = pc.fill_null(ids.value_lengths(), 0).to_numpy(zero_copy_only=False)
+        word = np.repeat(np.arange(len(ids), dtype=np.int64), lens)
+        pos = np.arange(len(word)) - np.repeat(np.cumsum(lens) - lens, lens)
+        self.db.register("given_ids", pa.table({"word": word, "pos": pos, "tok": ids.flatten()}))
+        out = [""] * len(ids)
+        for i, text in self.db.execute(JOINED).fetchall():
+            out[i] = text.translate(self.bytes).encode("latin-1").decode("utf-8", "replace")
+        return out
+
+
 _encoders: dict[str, Encoder] = {}
+_decoders: dict[str, Decoder] = {}
 
 
 def _encoder(name: str, make: Callable[[], dict]) -> Encoder:
@@ -192,3 +235,21 @@ def encode(df: DataFrame, text: str, keep: list[str], tokenizers: str = TOKENIZE
 
     schema = df.select(*keep).schema.add("n_tokens", T.LongType()) if count_only else df.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType()))
     return chosen.mapInArrow(run, schema)
+
+
+def decode(df: DataFrame, ids: str, keep: list[str], tokenizers: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
+    """The columns of `keep` and `decoded`, the text of the list `ids`; null and empty lists, and ids that aren't in the
+    vocabulary, give nothing; bytes that are no UTF-8 give U+FFFD. Narrow, as `encode`."""
+    path = f"{tokenizers.rstrip('/')}/{name}.json"
+    sent = df.sparkSession.sparkContext.broadcast(pieces(path))
+    schema = df.select(*keep).schema.add("decoded", T.StringType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if path not in _decoders:
+            _decoders[path] = Decoder(sent.value, {c: b for b, c in alphabet().items()})
+        for batch in batches:
+            for i in range(0, batch.num_rows, 2000):
+                part = batch.slice(i, 2000)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(_decoders[path].decode(part.column(part.num_columns - 1)), pa.string())], names=[*keep, "decoded"])
+
+    return df.select(*keep, F.col(ids).cast("array<int>").alias("__ids")).mapInArrow(run, schema)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.prefix import exclusive_sum
+
 #: Expected copies are whole multiples of 1 / UNIT, so that prefix sums are exact in any order of adding.
 UNIT = 2**32
 #: Sources that a table of targets may name.
@@ -45,20 +47,20 @@ def draw(sizes: DataFrame, given: list[dict], seed: int = 1, stretch: int = 20_0
     number rounded down or up, never more than max_repeats, and every range of sizes supplies its part. Documents
     without tokens, source or target are never drawn. Repeated rows are documents of their own.
 
-    The prefix sum has two levels: stretches of a source, by size and hash with about `stretch` documents each, are
-    summed with partial aggregation and added up, then each stretch adds up its own documents; so no task holds a
-    source. Sums are of whole numbers, and so the same in every run.
+    The prefix sum has three levels: stretches of a source, by size and hash with about `stretch` documents each, are
+    summed with partial aggregation and added up in groups of 256, then each stretch adds up its own documents; so no task
+    holds a source. Sums are of whole numbers, and so the same in every run.
     """
     if not any(r["copies"] for r in given):
         return sizes.select("source", "doc_id", "n_tokens", F.lit(0).cast("long").alias("repeats")).limit(0)
-    rate = F.create_map(*(x for r in given for x in (F.lit(r["source"]), F.lit(round(r["copies"] * UNIT)).cast("long"))))
-    docs = sizes.where("source is not null and n_tokens > 0").select("source", "doc_id", "n_tokens", F.element_at(rate, F.col("source")).alias("units")).where("units > 0")
+    # as many rows as there are sources with a target, of which rates takes MOST_SOURCES at most
+    rate = sizes.sparkSession.createDataFrame([(r["source"], round(r["copies"] * UNIT)) for r in given], "source string, units long")
+    docs = sizes.where("source is not null and n_tokens > 0").select("source", "doc_id", "n_tokens").join(F.broadcast(rate), "source").where("units > 0")
     scatter = max(1, sizes.count() // (stretch * 8))
     docs = docs.withColumns({"size": F.floor(F.log2("n_tokens") * 8).cast("int"), "part": F.pmod(F.xxhash64("doc_id"), F.lit(scatter)).cast("int")})
     sums = docs.groupBy("source", "size", "part").agg(F.sum("units").alias("all"))
-    before = Window.partitionBy("source").orderBy("size", "part").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.pmod(F.xxhash64(F.lit(seed), F.col("source")), F.lit(UNIT))
-    starts = sums.select("source", "size", "part", (F.coalesce(F.sum("all").over(before), F.lit(0)) + offset).alias("start"))
+    starts = exclusive_sum(sums, ["source"], [F.col("size"), F.shiftright("part", 8)], [F.col("part")], F.col("all"), "start").select("source", "size", "part", (F.col("start") + offset).alias("start"))
     upto = Window.partitionBy("source", "size", "part").orderBy("n_tokens", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     placed = docs.withColumn("within", F.sum("units").over(upto)).join(starts, ["source", "size", "part"])
     end = F.col("start") + F.col("within")

@@ -46,8 +46,9 @@ def pack(items: DataFrame, item: str, size: str, layouts: DataFrame, layout: str
     if len(shapes) > 1000:
         raise ValueError("more than 1000 layouts")
     there = items.select(F.col(item).alias("item"), F.col(size).cast("long").alias("size")).where("item is not null and size > 0")
-    total = there.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    kinds = F.array(*(F.struct(F.lit(a).alias("layout"), F.lit(c).cast("long").alias("capacity"), F.lit(max(1, round(total / (c * PER_BLOCK)))).cast("long").alias("blocks")) for a, c in shapes)) if shapes else F.expr("array()").cast("array<struct<layout:string,capacity:bigint,blocks:bigint>>")
+    # only what doesn't fill containers of its own goes into blocks
+    rests = there.agg(*(F.coalesce(F.sum(F.expr(f"size % {c}L")), F.lit(0)) for _, c in shapes)).first() if shapes else []
+    kinds = F.array(*(F.struct(F.lit(a).alias("layout"), F.lit(c).cast("long").alias("capacity"), F.lit(max(1, round(n / (c * PER_BLOCK)))).cast("long").alias("blocks")) for (a, c), n in zip(shapes, rests))) if shapes else F.expr("array()").cast("array<struct<layout:string,capacity:bigint,blocks:bigint>>")
     copies = there.groupBy("item", "size").agg(F.count("*").alias("copies")).select("item", "size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
     each = copies.withColumn("kind", F.explode(kinds)).select("item", "size", "copy", "kind.*").withColumns({"full": F.expr("size div capacity"), "rest": F.expr("size % capacity")})
     pieces = F.col("full") + (F.col("rest") > 0).cast("long")

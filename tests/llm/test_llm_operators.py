@@ -74,6 +74,18 @@ def test_pack_scatters_copies_of_one_item(spark):
     assert max(collections.Counter(r.container for r in rows).values()) == 3
 
 
+def test_pack_with_mostly_split_items(spark):
+    """Full pieces of split items don't spread the others over more blocks than these fill."""
+    rng = random.Random(5)
+    items = [(i, rng.randrange(1, 12)) for i in range(20000)] + [(100_000 + i, 96 * rng.randrange(20, 60) + rng.randrange(96)) for i in range(2000)]
+    df = spark.createDataFrame(items, "id long, size long")
+    layouts = spark.createDataFrame([("one", 96)], "name string, cap long")
+    fills = packing.fills(packing.pack(df, "id", "size", layouts, "name", "cap"), layouts, "name", "cap").collect()
+    assert sum(r["size"] for r in fills) == sum(s for _, s in items) and max(r.fill for r in fills) <= 1
+    rest = [r for r in fills if not r.container.startswith("t")]
+    assert len(rest) <= math.ceil(sum(s % 96 for _, s in items) / 96) * 1.01
+
+
 # ---------------------------------------------------------------- percentiles
 
 
@@ -131,6 +143,15 @@ def test_ids_equal_a_plain_encoder(spark):
     assert bpe.encode(df.limit(0), "text", ["doc_id"]).count() == 0
 
 
+def test_ids_decode_to_the_text(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "doc_id long, text string").repartition(3)
+    back = {r.doc_id: r.decoded for r in bpe.decode(bpe.encode(df, "text", ["doc_id"]), "ids", ["doc_id"]).collect()}
+    assert back == {i: t or "" for i, t in enumerate(ODD)}
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [10**8])], "doc_id long, ids array<int>")
+    assert {r.decoded for r in bpe.decode(odd, "ids", ["doc_id"]).collect()} == {""}
+    assert bpe.decode(odd.limit(0), "ids", ["doc_id"]).count() == 0
+
+
 def test_encoder_with_little_memory(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     enc = bpe.Encoder(bpe.vocabulary(f"{bpe.TOKENIZERS}/byte_bpe_50k.json"))
