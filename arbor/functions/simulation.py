@@ -69,6 +69,14 @@ class Cosmology:
         y = (self.Omega_m / x + self.Omega_L * x**2 * self.dark_energy(x if along else a)) ** -0.5
         return self.hubble_time() * np.trapezoid(y, x, axis=0)
 
+    def lookback_column(self, a: Column, least: float) -> Column:
+        """The same of a column, where `least` is the least a of all."""
+        n = max(2, int((1 - least) / 1e-3))
+        at = lambda i: a + (F.lit(1.0) - a) * (i / (n - 1))
+        y = lambda x: F.pow(self.Omega_m / x + self.Omega_L * x * x * self.dark_energy(a), F.lit(-0.5))
+        inner = F.aggregate(F.sequence(F.lit(1), F.lit(n - 2)), F.lit(0.0), lambda acc, i: acc + y(at(i))) if n > 2 else F.lit(0.0)
+        return self.hubble_time() * (inner + (y(a) + y(F.lit(1.0))) / 2) * (F.lit(1.0) - a) / (n - 1)
+
 
 @dataclass(frozen=True)
 class Simulation:

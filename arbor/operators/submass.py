@@ -11,6 +11,10 @@ from ..plans.cut import cut
 from .forest import Forest
 
 
+#: Fixed value: the dynamical time of a halo today, in the units of the lookback times.
+DYNAMICAL = 1.628
+
+
 def sub_hosts(forest: Forest, last: int) -> DataFrame:
     """branch, snapnum, host, direct_branch, direct_host: one row per merged branch and snapshot after its infall, in
     trees whose root is at `last`. host is the halo that holds it; direct_branch is the branch it merged into, and
@@ -37,7 +41,7 @@ def submass(forest: Forest, sim: Simulation, last: int, zeta: float = 0.1, A: fl
     steps = [int(s) for s in sim.steps[: last + 1]]
     a = sim.step2a(np.array(steps, dtype=float))
     cosmo = sim.cosmo
-    tau = 1.628 * (cosmo.virial_overdensity(a) / cosmo.virial_overdensity(1.0)) ** -0.5 * (cosmo.hubble_parameter(a) / cosmo.hubble_parameter(1.0)) ** -1 / A
+    tau = DYNAMICAL * (cosmo.virial_overdensity(a) / cosmo.virial_overdensity(1.0)) ** -0.5 * (cosmo.hubble_parameter(a) / cosmo.hubble_parameter(1.0)) ** -1 / A
     back = cosmo.lookback_time(a) * sim.cosmo.h
     t, taus = (F.array(*(F.lit(float(v)) for v in x)) for x in (back, tau))
     masses = forest.nodes.groupBy("branch").agg(F.map_from_entries(F.collect_list(F.struct("snapnum", "mass"))).alias("real"))

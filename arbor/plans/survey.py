@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,16 +124,28 @@ def virial_overdensity(spark, folder):
 
 
 def _lookbacks(spark, folder) -> DataFrame:
-    """snapnum, step, lookback; a number per step, made on the driver for at most a few hundred steps."""
-    steps = [r[0] for r in read_table(spark, folder, "sim_snapshots").select("step").distinct().take(10_000)]
-    times = SIM.step2lookback(steps) if steps else []
-    table = spark.createDataFrame([(int(s), float(t)) for s, t in zip(steps, times)], "step int, lookback double")
-    return read_table(spark, folder, "sim_snapshots").join(F.broadcast(table), "step").select(F.col("snapnum").cast("int").alias("snapnum"), "step", "lookback")
+    """snapnum, step, lookback of each snapshot."""
+    rows = read_table(spark, folder, "sim_snapshots").select(F.col("snapnum").cast("int").alias("snapnum"), "step")
+    first = rows.agg(F.min("step")).first()[0]
+    return rows.withColumn("lookback", SIM.cosmo.lookback_column(SIM.step2a(F.col("step")), SIM.step2a(0 if first is None else first)))
 
 
 def lookback(spark, folder):
     """Lookback time in Gyr of each halo."""
-    return catalog(spark, folder).select("id", "snapnum").join(_lookbacks(spark, folder), "snapnum").select("id", "snapnum", "step", "lookback")
+    return catalog(spark, folder).select("id", "snapnum").join(_lookbacks(spark, folder), "snapnum").select("id", "snapnum", "step", F.round("lookback", 9).alias("lookback"))
+
+
+def hubble_fraction(spark, folder):
+    """Lookback time of each halo in Hubble times, and the time from its snapshot to the one after it in Gyr."""
+    rows = _lookbacks(spark, folder)
+    after = rows.select((F.col("snapnum") - 1).alias("snapnum"), F.col("lookback").alias("after"))
+    times = rows.join(after, "snapnum", "left").select("snapnum", F.round(F.col("lookback") / SIM.cosmo.hubble_time(), 9).alias("fraction"), F.round(F.col("lookback") - F.col("after"), 9).alias("until_next"))
+    return catalog(spark, folder).select("id", "snapnum").join(times, "snapnum").select("id", "fraction", "until_next")
+
+
+def particle_count(spark, folder):
+    """Particles of each halo: its mass over that of a particle."""
+    return catalog(spark, folder).select("id", F.round(F.col("mass") / SIM.particle_mass(), 6).alias("n_particles"))
 
 
 def fragment_split(spark, folder):
@@ -252,7 +265,7 @@ def merger_rate(spark, folder, threshold: float = 0.1):
     per = _mergers(spark, folder).groupBy("snapnum").agg((F.sum((F.col("ratio") > threshold).cast("long")) / F.count("*")).alias("p"))
     back = _lookbacks(spark, folder).select("snapnum", "lookback")
     before = back.select((F.col("snapnum") + 1).alias("snapnum"), F.col("lookback").alias("before"))
-    return per.join(back, "snapnum").join(before, "snapnum").select("snapnum", (F.col("p") / (F.col("before") - F.col("lookback"))).alias("rate"))
+    return per.join(back, "snapnum").join(before, "snapnum").select("snapnum", F.round(F.col("p") / (F.col("before") - F.col("lookback")), 9).alias("rate"))
 
 
 def last_major_merger(spark, folder, ratio: float = 0.3):
@@ -328,17 +341,31 @@ def sub_offsets(spark, folder):
     return sub_hosts(built(spark, folder), LAST).groupBy("host").agg(F.count("*").alias("n_subs"))
 
 
+def sub_index(spark, folder):
+    """For each halo how many subhalo rows it holds and, in its tree's order, how many the halos before it hold."""
+    n = _nodes(spark, folder).select("root", "idx", "id")
+    held = sub_hosts(built(spark, folder), LAST).groupBy(F.col("host").alias("id")).agg(F.count("*").alias("n"))
+    rows = n.join(held, "id", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    return fo.exclusive_sum(rows, ["root"], [F.shiftright("idx", 12)], [F.col("idx")], F.col("n"), "sub_offset").select("id", "root", "sub_offset", F.col("n").alias("sub_size"))
+
+
+def sub_order(spark, folder):
+    """The place of each subhalo row among those of its host, by branch."""
+    rows = sub_hosts(built(spark, folder), LAST).select("branch", "snapnum", "host")
+    return fo.exclusive_sum(rows, ["host"], [F.shiftright("branch", 12)], [F.col("branch")], F.lit(1), "place")
+
+
 def submass_rows(spark, folder):
-    return submass(built(spark, folder), SIM, LAST)
+    return submass(built(spark, folder), SIM, LAST).select("branch", "snapnum", F.round("mass", -3).alias("mass"))
 
 
 def fsub_stats_rows(spark, folder):
     f = built(spark, folder)
-    return fsub_stats(submass(f, SIM, LAST), sub_hosts(f, LAST), f.nodes)
+    return fsub_stats(submass(f, SIM, LAST), sub_hosts(f, LAST), f.nodes).select("id", F.round("fsubtot", 6).alias("fsubtot"), F.round("fsubmax", 6).alias("fsubmax"))
 
 
 QUERIES = {
-    **{f.__name__: f for f in (forest_scan, forest_projection, forest_z0_roots, forest_chunk, forest_chunks, subtree_targets, subtree_slice, catalog_clean, quality_metrics, scale_factor, redshift, hubble, virial_overdensity, lookback, fragment_split, xoff, min_image, copy_rename, mass_bin_targets, descendant_join, orphans_anti, orphans_to_roots, descendant_idx, progenitor_csr, csr_offsets, progenitor_count, branch_size, dfs_order, root_label, branch_ids, mainbranch, mainbranch_mass, mean_mass_growth, nth_progenitor, merger_probability, merger_rate, last_major_merger, most_massive, infall_hist, mass_prune, mass_prune_size, adjacency_coo, tree_extract, root_order, sibling_order, fragfix_const, fragfix_linear, sub_rows, sub_offsets)},
+    **{f.__name__: f for f in (forest_scan, forest_projection, forest_z0_roots, forest_chunk, forest_chunks, subtree_targets, subtree_slice, catalog_clean, quality_metrics, scale_factor, redshift, hubble, virial_overdensity, lookback, hubble_fraction, particle_count, fragment_split, xoff, min_image, copy_rename, mass_bin_targets, descendant_join, orphans_anti, orphans_to_roots, descendant_idx, progenitor_csr, csr_offsets, progenitor_count, branch_size, dfs_order, root_label, branch_ids, mainbranch, mainbranch_mass, mean_mass_growth, nth_progenitor, merger_probability, merger_rate, last_major_merger, most_massive, infall_hist, mass_prune, mass_prune_size, adjacency_coo, tree_extract, root_order, sibling_order, fragfix_const, fragfix_linear, sub_rows, sub_offsets, sub_index, sub_order)},
     "branch_matrix": branch_matrix_rows, "branch_hosts": branch_host_rows, "sub_hosts": sub_host_rows, "submass": submass_rows, "fsub_stats": fsub_stats_rows,
 }
 
@@ -360,12 +387,30 @@ _A = "(1.0::DOUBLE / 201 + (1 - 1.0::DOUBLE / 201) / 500 * ({} + 1))"
 _STEP = "list_extract([" + ", ".join(map(str, SIM.steps)) + "], snapnum + 1)"
 _STEPS = f"{_CAT}, st AS (SELECT c.id, c.snapnum, s.step, {_A.format('s.step')} AS a FROM cat c JOIN sim_snapshots s ON s.snapnum = c.snapnum)"
 _OM, _OL, _H = SIM.cosmo.Omega_m, SIM.cosmo.Omega_L, SIM.cosmo.h
+#: Lookback time of each snapshot by the trapezoid rule, as many steps for all as the earliest needs.
+_BACK = f"""sa AS (SELECT CAST(snapnum AS INT) AS snapnum, step, {_A.format('step')} AS a, greatest(2, CAST(floor((1 - min({_A.format('step')}) OVER ()) / 1e-3) AS INT)) AS n FROM sim_snapshots),
+sx AS (SELECT snapnum, step, a, n, i, a + (1 - a) * (i / (n - 1)) AS x FROM (SELECT *, unnest(range(n)) AS i FROM sa)),
+back AS MATERIALIZED (SELECT snapnum, step, {SIM.cosmo.hubble_time()!r}::DOUBLE * sum(pow({_OM} / x + {_OL} * x * x, -0.5) * CASE WHEN i = 0 OR i = n - 1 THEN 0.5 ELSE 1 END) * (1 - a) / (n - 1) AS lookback FROM sx GROUP BY snapnum, step, a, n)"""
+#: The recurrence of subhalo masses, as a wave: at round k the branches of nesting level l are at snapshot k - l, so a branch's own
+#: last mass and its parent's present one are both of the round before.
+_TIMES = SIM.step2a(np.array(SIM.steps[: LAST + 1], dtype=float))
+_TAU = 1.628 * (SIM.cosmo.virial_overdensity(_TIMES) / SIM.cosmo.virial_overdensity(1.0)) ** -0.5 * (SIM.cosmo.hubble_parameter(_TIMES) / SIM.cosmo.hubble_parameter(1.0)) ** -1 / 1.1
+_NUMBERS = lambda x: "[" + ", ".join(repr(float(v)) + "::DOUBLE" for v in x) + "]"
 _PRUNED = f"""{_TREE}, low AS (SELECT id FROM nodes WHERE NOT mass > 1e11),
 gone AS (SELECT DISTINCT n.id FROM (SELECT id, unnest(anc) AS a FROM nodes) n JOIN low ON low.id = n.a),
 kept AS MATERIALIZED (SELECT * FROM nodes WHERE id NOT IN (SELECT id FROM gone))"""
 _SUB = f"""{_TREE}, late AS (SELECT id FROM nodes WHERE dsc IS NULL AND snapnum = {LAST}),
 heads AS (SELECT n.id, n.snapnum AS s0, n.dsc, p.branch AS pbranch, n.anc FROM nodes n JOIN nodes p ON p.id = n.dsc WHERE n.branch = n.id AND n.root IN (SELECT id FROM late)),
 host AS (SELECT h.id AS branch, h.pbranch, a.snapnum, a.id AS host, b.snapnum AS phead FROM (SELECT id, pbranch, unnest(anc[1:-2]) AS aid FROM heads) h JOIN nodes a ON a.id = h.aid JOIN nodes b ON b.id = h.pbranch)"""
+_SUBMASS = f"""{_SUB}, lev AS (SELECT id AS branch, 0 AS lev FROM late UNION ALL SELECT h.id, l.lev + 1 FROM heads h JOIN lev l ON h.pbranch = l.branch),
+tt AS (SELECT {_NUMBERS(SIM.cosmo.lookback_time(_TIMES) * SIM.cosmo.h)} AS t, {_NUMBERS(_TAU)} AS tau),
+sb AS MATERIALIZED (SELECT h.id AS b, h.pbranch AS p, h.s0, n.mass AS m0, p.snapnum AS phead, l.lev FROM heads h JOIN lev l ON l.branch = h.id JOIN nodes n ON n.id = h.id JOIN nodes p ON p.id = h.pbranch),
+todo AS MATERIALIZED (SELECT sb.*, s, s + lev AS k, n.mass AS real, CASE WHEN s = s0 + 1 THEN (t[s0 + 1] + t[s0 + 2]) / 2 ELSE t[s] END - t[s + 1] AS past, tau[s + 1] AS tau
+  FROM (SELECT *, unnest(range(s0 + 1, {LAST + 1})) AS s FROM sb) sb CROSS JOIN tt LEFT JOIN nodes n ON n.branch = sb.p AND n.snapnum = CASE WHEN s > phead THEN NULL WHEN s = s0 + 1 THEN s ELSE s - 1 END),
+wave AS (SELECT 0 AS k, CAST(-1 AS BIGINT) AS b, CAST(0 AS BIGINT) AS s, CAST(0 AS DOUBLE) AS m
+  UNION ALL SELECT c.k + 1, x.b, x.s, x.m FROM (SELECT k FROM wave WHERE b = -1) c, LATERAL (SELECT CAST(-1 AS BIGINT) AS b, CAST(0 AS BIGINT) AS s, CAST(0 AS DOUBLE) AS m WHERE c.k < 2 * {LAST + 1}
+    UNION ALL SELECT d.b, d.s, {{0}} * pow(1 + 0.1 * pow({{0}} / coalesce(d.real, w2.m), 0.1) * d.past / d.tau, -10.0) FROM todo d LEFT JOIN wave w1 ON w1.b = d.b LEFT JOIN wave w2 ON w2.b = d.p WHERE d.k = c.k + 1) x),
+subs AS MATERIALIZED (SELECT b AS branch, CAST(s AS INT) AS snapnum, m AS mass FROM wave WHERE b <> -1)""".replace("{0}", "CASE WHEN d.s = d.s0 + 1 THEN d.m0 ELSE w1.m END")
 _MERGE = f"""{_TREE}, sib AS (SELECT dsc, mass, row_number() OVER (PARTITION BY dsc ORDER BY mass DESC, id) AS k FROM nodes WHERE dsc IS NOT NULL),
 mrg AS (SELECT m.target, m.snapnum, coalesce(b.mass / a.mass, 0) AS ratio FROM main m JOIN sib a ON a.dsc = m.id AND a.k = 1 LEFT JOIN sib b ON b.dsc = m.id AND b.k = 2)"""
 _FRAG = f"""{_TREE}, fr AS (SELECT n.id, n.branch, n.snapnum, n.mass, CASE WHEN r.g < 0 THEN (-r.g) >> 48 ELSE 0 END AS fragment, r.sc FROM nodes n JOIN recs USING (id) WHERE r.g IS NOT NULL AND isfinite(r.sc)),
@@ -389,6 +434,14 @@ ORACLES = {
     "redshift": f"{_STEPS} SELECT id, round(1 / a - 1, 9) AS redshift FROM st",
     "hubble": f"{_STEPS} SELECT id, round(100 * {_H} * sqrt({_OM} / (a * a * a) + {_OL}), 6) AS hubble FROM st",
     "virial_overdensity": f"{_STEPS} SELECT id, round(18 * pi() * pi() + 82 * x - 39 * x * x, 6) AS overdensity FROM (SELECT id, {_OM} / (a * a * a) / ({_OM} / (a * a * a) + {_OL}) - 1 AS x FROM st)",
+    "lookback": f"{_CAT}, {_BACK} SELECT id, snapnum, step, round(lookback, 9) AS lookback FROM cat JOIN back USING (snapnum)",
+    "hubble_fraction": f"{_CAT}, {_BACK} SELECT c.id, round(b.lookback / {SIM.cosmo.hubble_time()!r}::DOUBLE, 9) AS fraction, round(b.lookback - n.lookback, 9) AS until_next FROM cat c JOIN back b USING (snapnum) LEFT JOIN back n ON n.snapnum = c.snapnum + 1",
+    "particle_count": f"{_CAT} SELECT id, round(mass / {SIM.particle_mass()!r}::DOUBLE, 6) AS n_particles FROM cat",
+    "merger_rate": f"{_MERGE}, {_BACK} SELECT g.snapnum, round(g.p / (q.lookback - b.lookback), 9) AS rate FROM (SELECT snapnum, count(*) FILTER (ratio > 0.1) / count(*) AS p FROM mrg GROUP BY 1) g JOIN back b USING (snapnum) JOIN back q ON q.snapnum = g.snapnum - 1",
+    "submass": f"{_SUBMASS} SELECT branch, snapnum, round(mass, -3) AS mass FROM subs",
+    "fsub_stats": f"{_SUBMASS} SELECT n.id, round(coalesce(x.t / n.mass, 0), 6) AS fsubtot, round(coalesce(x.m / n.mass, 0), 6) AS fsubmax FROM nodes n LEFT JOIN (SELECT h.host AS id, sum(s.mass) AS t, max(s.mass) AS m FROM subs s JOIN host h USING (branch, snapnum) GROUP BY 1) x USING (id)",
+    "sub_index": f"{_SUB}, c AS (SELECT host AS id, count(*) AS n FROM host GROUP BY 1) SELECT id, root, CAST(coalesce(sum(coalesce(n, 0)) OVER (PARTITION BY root ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS sub_offset, coalesce(n, 0) AS sub_size FROM nodes LEFT JOIN c USING (id)",
+    "sub_order": f"{_SUB} SELECT branch, snapnum, host, row_number() OVER (PARTITION BY host ORDER BY branch) - 1 AS place FROM host",
     "fragment_split": f"WITH {_RECS} SELECT id, CASE WHEN r.g < 0 THEN (-r.g) & 281474976710655 ELSE r.g END AS tag, CASE WHEN r.g < 0 THEN (-r.g) >> 48 ELSE 0 END AS fragment FROM recs WHERE r.g IS NOT NULL",
     "xoff": f"{_DELTAS} SELECT id, round(CASE WHEN sm > 0 THEN sqrt(dx * dx + dy * dy + dz * dz) / sr ELSE -101 END, 3) AS xoff, round(dx, 5) AS dx FROM p",
     "min_image": f"{_DELTAS} SELECT id, round(dx, 5) AS dx, round(dy, 5) AS dy, round(dz, 5) AS dz FROM p",
