@@ -3,7 +3,8 @@
 A forest is two tables. `nodes`: id, desc (null for a root), snapnum, mass, branch (id of the branch's latest halo), d
 (steps from it), root, depth, size (halos in its subtree, itself included), idx (its place in the tree's depth-first
 order, from 0), pbranch and at (the branch that its branch merges into, and the step there). `branches`: branch, root,
-pbranch, at, head_snap, head_mass, length, total, and prefix, the ids from the root to the halo it merges into.
+pbranch, at, head_snap, head_mass, length, total, nest (branches above it), and prefix, the ids from the root to the
+halo it merges into.
 A branch goes on in the most massive progenitor (then the least id); in the order of a tree a branch is followed by
 those that merge into it, earliest first, then by mass descending and id, each with its own.
 """
@@ -56,7 +57,7 @@ def build(catalog: DataFrame) -> Forest:
     merging = table.where("pchain is not null").select("chain", "pchain", "head_snap", "head_mass", "total")
     placed = exclusive_sum(merging, ["pchain"], [F.col("head_snap"), falling_bin(F.col("head_mass"))], [F.col("head_mass").desc(), F.col("chain")], F.col("total"), "gap")
     known = hand_down(peeled, table.join(placed.select("chain", "gap"), "chain", "left"), gap=True).read()
-    branches = known.select(F.col("chain").alias("branch"), "root", F.col("pchain").alias("pbranch"), "at", "head_snap", "head_mass", "length", "total", "prefix")
+    branches = known.select(F.col("chain").alias("branch"), "root", F.col("pchain").alias("pbranch"), "at", "head_snap", "head_mass", "length", "total", "nest", "prefix")
     below = F.when(F.col("k") == 0, F.col("parent")).otherwise(F.col("s.desc"))
     steps = F.transform("steps", lambda s, i: F.struct(s["id"].alias("id"), s["note"].alias("note"), s["n_descendants"].alias("n"), F.when(i > 0, F.get("steps", i - 1)["id"]).alias("desc")))
     rows, d = known.select("chain", "root", "parent", "pchain", "at", "base", "pos", F.posexplode(steps).alias("k", "s")), F.col("k").cast("long")

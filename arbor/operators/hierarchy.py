@@ -27,12 +27,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..plans.cut import Parts, active, cut, split, split_by, stored
-from .skew import join_hot
+from .skew import hot_keys, join_hot
 
 KEY = ["scope", "id"]
 CHAIN = ["scope", "chain"]
-#: A parent is hot with more than this share of all children, and more than so many; at most 1 / HOT parents are.
-HOT, LEAST_HOT = 0.001, 10_000
 #: Pointers followed per job, after each other: a job makes them JUMPS + 1 times as long.
 JUMPS = 3
 #: Chains, checked to be no more, whose last rounds one task does.
@@ -62,11 +60,6 @@ class Peeled:
         return Parts(spark, self.schema, [f for p in parts for f in p.folders]).read()
 
 
-def _hot(rows: DataFrame, key: str, count: str, n: int) -> list:
-    """The few values of `key` whose `count` is a large part of n."""
-    return [r[0] for r in rows.where(F.col(count) > max(LEAST_HOT, n * HOT)).select(key).distinct().collect()]
-
-
 def pick_heirs(links: DataFrame) -> DataFrame:
     """scope, parent, heir, kids of each parent that has a row. The heir is the child of the highest `weight`, a column that
     links may have, then of the least id. Any choice gives the same hierarchy; with the (possibly wrong) size of the
@@ -229,7 +222,7 @@ def chain_steps(peeled: Peeled, sizes: bool = True) -> DataFrame:
 
 def hand_down(peeled: Peeled, chains: DataFrame, with_path: bool = True, gap: bool = False) -> Parts:
     """`chains` (the peeled ones, with steps and whatever other columns) with what their tops know: root, base (the top's
-    depth), with `with_path` prefix, the ids from the root to the node that the chain hangs on, and with `gap` pos, the
+    depth), nest (chains above), with `with_path` prefix, the ids from the root to the node that the chain hangs on, and with `gap` pos, the
     place of its top in the tree's order, where a chain comes `gap` places after the end of the one it hangs on.
 
     In reverse peel order each chain learns this from the chain it hangs on, which knows it by then. Chains that lead
@@ -239,9 +232,9 @@ def hand_down(peeled: Peeled, chains: DataFrame, with_path: bool = True, gap: bo
     if not n:
         return _empty(chains, with_path, gap)
     # a chain that other rounds read is hot only if much hangs on it
-    hot = _hot(peeled.chains, "chain", "fan", peeled.n)
+    hot = hot_keys(peeled.chains, "chain", "fan", peeled.n)
     columns, parts = chains.columns, split_by(chains, "tree", "round", range(n))
-    top = {"root": "chain", "base": "0L"} | ({"prefix": "cast(array() as array<bigint>)"} if with_path else {}) | ({"pos": "0L"} if gap else {})
+    top = {"root": "chain", "base": "0L", "nest": "0"} | ({"prefix": "cast(array() as array<bigint>)"} if with_path else {}) | ({"pos": "0L"} if gap else {})
     named = lambda found: [f"{found[k]} as {k}" for k in top]
     known: Parts | None = None
     if peeled.tail:
@@ -250,9 +243,9 @@ def hand_down(peeled: Peeled, chains: DataFrame, with_path: bool = True, gap: bo
         rows = part.read()
         new = rows.where("pchain is null").selectExpr(*columns, *named(top))
         if known:
-            above = known.read().selectExpr("scope", "chain as pchain", "root", "base", *(["prefix", "steps.id as ids"] if with_path else []), *(["pos", "length as plength"] if gap else []))
+            above = known.read().selectExpr("scope", "chain as pchain", "root", "base", "nest", *(["prefix", "steps.id as ids"] if with_path else []), *(["pos", "length as plength"] if gap else []))
             got = join_hot(rows.where("pchain is not null"), above, ["scope", "pchain"], "pchain", hot, F.col("chain"), "left")
-            onto = {"root": "root", "base": "base + at + 1", "prefix": "concat(prefix, slice(ids, 1, cast(at + 1 as int)))", "pos": "pos + plength + gap"}
+            onto = {"root": "root", "base": "base + at + 1", "nest": "nest + 1", "prefix": "concat(prefix, slice(ids, 1, cast(at + 1 as int)))", "pos": "pos + plength + gap"}
         else:
             # nothing but residual chains is left above these
             got, onto = rows.where("pchain is not null"), {k: f"cast(null as {new.schema[k].dataType.simpleString()})" for k in top}
@@ -271,12 +264,12 @@ def _tail_facts(rows: DataFrame, tail: DataFrame, named: Callable[[dict], list[s
         sums.append(F.array_sort(F.collect_list(F.struct((-F.col("k")).alias("k"), F.slice("ids", F.lit(1), (F.col("uat") + 1).cast("int")).alias("ids")))).alias("pieces"))
     if gap:
         sums.append(F.sum(F.col("olength") + F.coalesce("ogap", F.lit(0))).alias("before"))
-    found = {"root": "if(rooted, coalesce(top, chain), null)", "base": "if(rooted, coalesce(base, 0L), null)", "prefix": "if(rooted, coalesce(flatten(pieces.ids), cast(array() as array<bigint>)), null)", "pos": "coalesce(before + gap, 0L)"}
+    found = {"root": "if(rooted, coalesce(top, chain), null)", "base": "if(rooted, coalesce(base, 0L), null)", "nest": "if(rooted, size(up), null)", "prefix": "if(rooted, coalesce(flatten(pieces.ids), cast(array() as array<bigint>)), null)", "pos": "coalesce(before + gap, 0L)"}
     return ups.join(each.groupBy(*CHAIN).agg(*sums), CHAIN, "left").selectExpr(*rows.columns, *named(found))
 
 
 def _empty(chains: DataFrame, with_path: bool, gap: bool) -> Parts:
-    none = {"root": "long", "base": "long"} | ({"prefix": "array<bigint>"} if with_path else {}) | ({"pos": "long"} if gap else {})
+    none = {"root": "long", "base": "long", "nest": "int"} | ({"prefix": "array<bigint>"} if with_path else {}) | ({"pos": "long"} if gap else {})
     return Parts(chains.sparkSession, chains.select("*", *(F.lit(None).cast(t).alias(k) for k, t in none.items())).schema, [])
 
 
@@ -314,7 +307,7 @@ def descendant_lists(peeled: Peeled) -> DataFrame:
     facts = hand_down(peeled, peeled.chains.select(*CHAIN, "pchain", "at", "round").join(chain_steps(peeled, sizes=False), CHAIN), with_path=False).read()
     rooted = facts.where("root is not null").select(*CHAIN, "pchain", "at", "round", F.col("steps.id").alias("ids"))
     nodes = rooted.select(*CHAIN, "round", F.posexplode("ids").alias("at", "descendant")).select(*CHAIN, "round", "descendant", F.col("at").cast("long").alias("at"), F.lit(0).cast("long").alias("distance"))
-    hot, big = _hot(peeled.chains, "chain", "fan", peeled.n), _hot(peeled.chains, "chain", "total", peeled.n)
+    hot, big = hot_keys(peeled.chains, "chain", "fan", peeled.n), hot_keys(peeled.chains, "chain", "total", peeled.n)
     when = peeled.chains.selectExpr("scope", "chain as pchain", "round as pround")
     sends = cut(join_hot(rooted.where("pchain is not null").drop("ids"), when, ["scope", "pchain"], "pchain", hot, F.col("chain")).selectExpr("scope", "chain", "pchain", "at as pat", "round", "pround"), "sends")
     lists = stored(nodes, "lists")
@@ -344,6 +337,6 @@ def resolve(links: DataFrame, chained: bool = True, tail: int = TAIL) -> Peeled:
     whose id is null. With `chained` many levels are peeled in a round, else one."""
     links = links.withColumn("scope", F.col("scope").cast("int"))
     kids, seen = cut(pick_heirs(links), "kids", n=F.sum("kids"))
-    hot = _hot(kids, "parent", "kids", seen["n"])
+    hot = hot_keys(kids, "parent", "kids", seen["n"])
     nodes, tops = label_chains(links, kids if chained else None)
     return peel(nodes, tops, hot, seen["n"], tail)

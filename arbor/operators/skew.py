@@ -17,6 +17,15 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
     return [x for x in items or [] if x is not None]
 
 
+#: A key is hot with more than this share of all rows, and more than so many; at most 1 / HOT keys are.
+HOT, LEAST_HOT = 0.001, 10_000
+
+
+def hot_keys(counts: DataFrame, key: str, count: str, n: int) -> list:
+    """The few values of `key` whose `count` is a large part of n, which is at least the sum of all counts."""
+    return [r[0] for r in counts.where(F.col(count) > max(LEAST_HOT, n * HOT)).select(key).distinct().collect()]
+
+
 def salted_aggregate(df: DataFrame, key: str, sums: dict[str, Column], heavy: list, salts: int = 32, seed: int = 7) -> DataFrame:
     """Per value of `key` (null is a value of its own): `n_rows` and the sum of each column of `sums`; a sum over no
     value is 0. Rows of `heavy` keys get a random salt, partial results are made per key and salt and then merged by

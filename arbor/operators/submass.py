@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.simulation import Simulation
-from ..plans.cut import cut
+from ..plans.cut import split_levels, stored
 from .forest import Forest
+from .skew import hot_keys, join_hot
 
 
 #: Fixed value: the dynamical time of a halo today, in the units of the lookback times.
@@ -35,8 +36,9 @@ def submass(forest: Forest, sim: Simulation, last: int, zeta: float = 0.1, A: fl
     halo its branch merged into: at the first step that at the snapshot, later that of the snapshot before; once that
     branch has merged too, its modelled mass at the snapshot. zeta = 0 is exponential decay.
 
-    One round per level of nesting: parents' masses, one array of at most one value per snapshot, join their merged
-    branches, and a fold over the snapshots gives these theirs; so no task needs more than its rows.
+    One round per level of nesting, which reads that level's branches only: parents' masses, one array of at most one value per
+    snapshot, join their merged branches, salted where many merge into one, and a fold over the snapshots gives these
+    theirs; so no task needs more than its rows.
     """
     steps = [int(s) for s in sim.steps[: last + 1]]
     a = sim.step2a(np.array(steps, dtype=float))
@@ -45,13 +47,17 @@ def submass(forest: Forest, sim: Simulation, last: int, zeta: float = 0.1, A: fl
     back = cosmo.lookback_time(a) * sim.cosmo.h
     t, taus = (F.array(*(F.lit(float(v)) for v in x)) for x in (back, tau))
     masses = forest.nodes.groupBy("branch").agg(F.map_from_entries(F.collect_list(F.struct("snapnum", "mass"))).alias("real"))
-    table = cut(forest.branches.join(masses, "branch").select("branch", "root", "pbranch", "head_snap", "head_mass", "real"), "sub")
-    level = table.where((F.col("branch") == F.col("root")) & (F.col("head_snap") == last))
-    level = level.select("branch", "head_snap", "real", F.create_map().cast("map<int,double>").alias("sub"))
+    kids = forest.branches.where("pbranch is not null").groupBy("pbranch").agg(F.count("*").alias("n"))
+    hot = hot_keys(kids, "pbranch", "n", kids.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    levels = split_levels(forest.branches.join(masses, "branch").select("branch", "root", "pbranch", "head_snap", "head_mass", "nest", "real"), "sub", "nest")
+    none = F.create_map().cast("map<int,double>").alias("sub")
+    if not levels:
+        return forest.branches.select("branch", F.explode(none).alias("snapnum", "mass")).limit(0)
+    level = levels[0].read().where(F.col("head_snap") == last).select("branch", "head_snap", "real", none)
     out = None
-    while True:
+    for part in levels[1:]:
         up = level.select(F.col("branch").alias("pbranch"), F.col("head_snap").alias("phead"), F.col("real").alias("preal"), F.col("sub").alias("psub"))
-        rows = table.where("pbranch is not null").join(up, "pbranch").withColumns({"t": t, "tau": taus})
+        rows = join_hot(part.read(), up, ["pbranch"], "pbranch", hot, F.col("branch")).withColumns({"t": t, "tau": taus})
         after = F.sequence(F.col("head_snap") + 1, F.lit(last))
         host = lambda s: F.when(s > F.col("phead"), F.element_at("psub", s)).when(s == F.col("head_snap") + 1, F.element_at("preal", s)).otherwise(F.element_at("preal", s - 1))
         start = (F.get("t", F.col("head_snap")) + F.get("t", F.col("head_snap") + 1)) / 2
@@ -64,13 +70,11 @@ def submass(forest: Forest, sim: Simulation, last: int, zeta: float = 0.1, A: fl
 
         begin = F.struct(F.col("head_mass").alias("m"), start.alias("at"), F.array().cast("array<double>").alias("all"))
         done = rows.select("branch", "head_snap", "real", F.map_from_arrays(after, F.aggregate(after, begin, step, lambda acc: acc["all"])).alias("sub"))
-        level, seen = cut(done, "submass", n=F.count("*"))
-        if not seen["n"]:
-            break
-        out = level if out is None else out.unionByName(level)
+        made = stored(done, "submass")
+        level, out = made.read(), made if out is None else out + made
     if out is None:
-        out = level
-    return out.select("branch", F.explode("sub").alias("snapnum", "mass"))
+        return level.select("branch", F.explode("sub").alias("snapnum", "mass"))
+    return out.read().select("branch", F.explode("sub").alias("snapnum", "mass"))
 
 
 def fsub_stats(subs: DataFrame, hosts: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -95,6 +95,12 @@ def split_by(df: DataFrame, name: str, column: str, values: range) -> list[Parts
     return [Parts(df.sparkSession, df.schema, [f"{path}/__part={v}"]) for v in values]
 
 
+def split_levels(df: DataFrame, name: str, column: str) -> list[Parts]:
+    """The same where `column` holds every whole number from 0 to its greatest, which is found during the write."""
+    path, seen = _write(df.withColumn("__part", F.col(column)), name, "__part", {"n": F.max(F.col(column)) + 1})
+    return [Parts(df.sparkSession, df.schema, [f"{path}/__part={v}"]) for v in range(seen["n"])]
+
+
 def stored(df: DataFrame, name: str) -> Parts:
     """`df` written once, as parts."""
     path, _ = _write(df, name, None, {})

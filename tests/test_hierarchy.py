@@ -3,6 +3,7 @@ import random
 import pytest
 
 from arbor.operators import hierarchy as hi
+from arbor.operators import skew
 from arbor.operators.hierarchy import descendant_lists, descendants, hierarchy, loop_nodes, resolve
 
 SCHEMA = "scope int, id long, parent long, weight double, root string, d int"
@@ -106,7 +107,7 @@ def test_loop_of_many(spark):
 
 
 def test_hot_parents_are_salted(spark, monkeypatch):
-    monkeypatch.setattr(hi, "LEAST_HOT", 3)
+    monkeypatch.setattr(skew, "LEAST_HOT", 3)
     monkeypatch.setattr(hi, "TAIL", 0)
     check(spark, [(0, 1, None), (0, 2, 1), (0, 3, 2)] + [(0, 10 + i, 1 + i % 3) for i in range(60)] + [(0, 100 + i, 10) for i in range(9)] + [(1, 1, 1)] + [(1, 2 + i, 1) for i in range(9)])
 
