@@ -78,7 +78,8 @@ def _summaries(spark: SparkSession, folder: str, k: int = quantiles.K) -> DataFr
     return quantiles.summarize(rows, ["snapnum", "day"], "tree_node_mass", k)
 
 
-_DAY = F.date_add(F.lit("1970-01-01").cast("date"), F.col("day").cast("int")).alias("day")
+#: The day of a summary as a date.
+_DAY = "date_add(date '1970-01-01', cast(day as int)) as day"
 
 
 def p6_levels(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,7 +88,7 @@ def p6_levels(spark: SparkSession, folder: str) -> DataFrame:
     daily = cut(quantiles.merged(_summaries(spark, folder), ["snapnum", "day"]), "daily")
     parts = quantiles.percentiles(daily, ["snapnum", "day"], PERCENTS)
     whole = quantiles.percentiles(quantiles.merged(daily, ["snapnum"]), ["snapnum"], PERCENTS).withColumn("day", F.lit(None).cast("long"))
-    return parts.unionByName(whole).select(F.col("snapnum").cast("int").alias("snapnum"), _DAY, "percent", "value", "n_values", "max_rank_error")
+    return parts.unionByName(whole).select(F.col("snapnum").cast("int").alias("snapnum"), F.expr(_DAY), "percent", "value", "n_values", "max_rank_error")
 
 
 def p6_within(spark: SparkSession, folder: str, k: int = 64) -> DataFrame:
@@ -107,7 +108,7 @@ def p6_within(spark: SparkSession, folder: str, k: int = 64) -> DataFrame:
 def p6_daily(spark: SparkSession, folder: str) -> DataFrame:
     """Percentiles of the finite masses of each snapshot and day of loading: what the daily summaries say by themselves."""
     out = quantiles.percentiles(quantiles.merged(_summaries(spark, folder), ["snapnum", "day"]), ["snapnum", "day"], PERCENTS)
-    return out.select(F.col("snapnum").cast("int").alias("snapnum"), _DAY, "percent", "value", "n_values", "max_rank_error")
+    return out.select(F.col("snapnum").cast("int").alias("snapnum"), F.expr(_DAY), "percent", "value", "n_values", "max_rank_error")
 
 
 def p6_percentiles(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,7 +121,7 @@ def p6_percentiles(spark: SparkSession, folder: str) -> DataFrame:
 def p6_days(spark: SparkSession, folder: str) -> DataFrame:
     """Percentiles of the finite masses of each day of loading, from the same summaries."""
     out = quantiles.percentiles(quantiles.merged(_summaries(spark, folder), ["day"]), ["day"], PERCENTS)
-    return out.select(_DAY, "percent", "value", "n_values", "max_rank_error")
+    return out.select(F.expr(_DAY), "percent", "value", "n_values", "max_rank_error")
 
 
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
