@@ -17,7 +17,7 @@ def convert(spark: SparkSession, path: str) -> None:
     """Catalogs (Parquet with a snapnum column) to closed forest files, as the INI file at `path` says."""
     c = configs.forest_config(path)
     name = lambda role: c.columns.get(role, role)
-    rows = spark.read.parquet(c.catalogs)
+    rows = _records(spark.read.parquet(c.catalogs), [name("tree_node_index")])
     mass = F.col(name("tree_node_mass")).cast("double")
     catalog = rows.select(F.col(name("tree_node_index")).alias("id"), F.col(name("desc_node_index")).alias("desc"), F.col("snapnum").cast("int").alias("snapnum"), mass.alias("mass")).where("mass is not null and not isnan(mass) and abs(mass) < double('infinity')")
     if c.fail_on_missing and forest.orphans(catalog).limit(1).count():
@@ -30,7 +30,7 @@ def convert(spark: SparkSession, path: str) -> None:
 def reorganize(spark: SparkSession, path: str, n_files: int = 16) -> None:
     """Core properties to core forest files, as the TOML file at `path` says."""
     c = configs.core_config(path)
-    rows = spark.read.parquet(c.cores).withColumn("snapnum", F.col("snapnum").cast("int"))
+    rows = _records(spark.read.parquet(c.cores).withColumn("snapnum", F.col("snapnum").cast("int")), cores.KEY)
     kept = cores.core_forest(rows, len(c.simulation.steps) - 1)
     sinks.write_cores(kept.join(rows.select(*dict.fromkeys(["core_tag", "snapnum", *c.columns])), cores.KEY), c.output, n_files)
 
@@ -49,15 +49,19 @@ def intersect_steps(spark: SparkSession, core_path: str, halo_path: str, snapsho
     sinks.write_lightcone(lightcone.output(placed, rows, lightcone.SHELL, _infall(rows)), output)
 
 
+def _records(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key, its record, where rows have the time of their loading; else they are taken as they are."""
+    if "loaded_at" not in rows.columns:
+        return rows
+    return keyed(rows, keys, [c for c in rows.columns if c not in keys and c != "loaded_at"]).drop("arrival")
+
+
 def _infall(rows: DataFrame) -> tuple[str, ...]:
     return tuple(c for c in rows.columns if c.startswith("infall_fof_halo_center_"))
 
 
 def _cores(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path).withColumn("snapnum", F.col("snapnum").cast("int"))
-    if "loaded_at" in rows.columns:
-        rows = keyed(rows, cores.KEY, ["central", "merged", "host_core", "fof_halo_tag", "x", "y", "z", *_infall(rows)])
-    return rows
+    return _records(spark.read.parquet(path).withColumn("snapnum", F.col("snapnum").cast("int")), cores.KEY)
 
 
 def main(argv: list[str] | None = None) -> None:

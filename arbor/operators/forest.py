@@ -14,13 +14,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..plans.cut import cut
 from .hierarchy import chain_steps, hand_down, resolve
-from .prefix import exclusive_sum, falling_bin
+from .prefix import exclusive_sum, falling_bin, running_place
 
 
 @dataclass
@@ -162,10 +162,12 @@ def extracted(forest: Forest, targets: DataFrame, threshold: float, max_steps: i
     return near.join(keep, "id", "left_semi").select("target", "id", F.col("step").cast("int").alias("step"), "mass")
 
 
-def chunk_of_roots(tops: DataFrame, order: Column, n_chunks: int) -> DataFrame:
-    """tops with `chunk`: equal numbers of roots in the order of their whole-number key, the rest in the last chunk."""
+def chunk_of_roots(tops: DataFrame, order: str, n_chunks: int, place: str | None = None) -> DataFrame:
+    """tops with `chunk`: equal numbers of roots in the order of their whole-number key, the rest in the last chunk; and
+    with `place`, if named, their place in that order."""
     if n_chunks < 1:
         raise ValueError("at least one chunk")
     size = max(1, tops.count() // n_chunks)
-    at = exclusive_sum(tops, [], [F.shiftright(order, 12)], [order], F.lit(1), "place")
-    return at.withColumn("chunk", F.least(F.expr(f"place div {size}"), F.lit(n_chunks - 1)).cast("int")).drop("place")
+    at = running_place(tops, order, "__place")
+    at = at.withColumn("chunk", F.least(F.expr(f"__place div {size}"), F.lit(n_chunks - 1)).cast("int"))
+    return at.drop("__place") if place is None else at.withColumnRenamed("__place", place)

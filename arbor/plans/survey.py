@@ -14,12 +14,12 @@ from ..operators.fragments import fix_fragments
 from ..operators.matrix import branch_hosts, branch_matrix
 from ..operators.records import keyed
 from ..operators.submass import fsub_stats, sub_hosts, submass
-from ..sources.tables import read_table
+from ..sources.tables import read_table, table_stamp
 
 SIM, BOX, LAST = SIMULATIONS["LastJourney"], 512.0, 100
 LOW, HIGH = 1e12, 1e13
 FIELDS = ["fof_halo_tag", "sod_halo_mass", "sod_halo_radius", "sod_halo_cdelta", "fof_halo_center_x", "fof_halo_center_y", "fof_halo_center_z"]
-_built: dict[tuple[str, str], fo.Forest] = {}
+_built: dict[tuple, fo.Forest] = {}
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,8 +40,8 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def built(spark: SparkSession, folder: str) -> fo.Forest:
-    """The forest of `folder`, built once per application and kept as tables in the shared folder."""
-    key = (spark.sparkContext.applicationId, folder)
+    """The forest of `folder`, built once per application and state of its files, and kept as tables in the shared folder."""
+    key = (spark.sparkContext.applicationId, folder, table_stamp(spark, folder, "forest"))
     if key not in _built:
         _built[key] = fo.build(catalog(spark, folder))
     return _built[key]
@@ -71,14 +71,14 @@ def forest_z0_roots(spark, folder):
 
 def forest_chunk(spark, folder, chunk: int = 1, n_chunks: int = 5):
     tops = fo.roots(_nodes(spark, folder)).where(F.col("snapnum") == LAST).select("root")
-    mine = fo.chunk_of_roots(tops, F.col("root"), n_chunks).where(F.col("chunk") == chunk).select("root")
+    mine = fo.chunk_of_roots(tops, "root", n_chunks).where(F.col("chunk") == chunk).select("root")
     return _nodes(spark, folder).join(mine, "root", "left_semi").select("id", "root", "idx")
 
 
 def forest_chunks(spark, folder, n_chunks: int = 5):
     """The trees of all chunks, each with its chunk; the last one holds the remainder."""
     tops = fo.roots(_nodes(spark, folder)).where(F.col("snapnum") == LAST).select("root")
-    return _nodes(spark, folder).join(fo.chunk_of_roots(tops, F.col("root"), n_chunks).select("root", "chunk"), "root").select("chunk", "id", "root", "idx")
+    return _nodes(spark, folder).join(fo.chunk_of_roots(tops, "root", n_chunks).select("root", "chunk"), "root").select("chunk", "id", "root", "idx")
 
 
 def subtree_targets(spark, folder):
@@ -299,7 +299,7 @@ def tree_extract(spark, folder):
 
 def root_order(spark, folder):
     tops = fo.roots(_nodes(spark, folder)).where(F.col("snapnum") == LAST).select("id")
-    return fo.exclusive_sum(tops, [], [F.shiftright("id", 12)], [F.col("id")], F.lit(1), "place")
+    return fo.running_place(tops, "id", "place")
 
 
 def sibling_order(spark, folder):

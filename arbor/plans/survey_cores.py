@@ -11,7 +11,8 @@ from ..operators import cores as co
 from ..operators import lightcone as lc
 from ..operators.prefix import exclusive_sum
 from ..operators.records import keyed
-from ..sources.tables import read_table
+from ..sources.tables import read_files, read_table, table_stamp
+from .cut import cut
 
 BOX, LAST, AT, GRID = 512.0, 100, 90, 10752
 
@@ -37,20 +38,36 @@ def core_host(spark, folder):
     return co.host_links(cores(spark, folder)).select("core_tag", "snapnum", F.coalesce("host", F.lit(-1)).alias("host"))
 
 
+_tops_of: dict[tuple, DataFrame] = {}
+
+
+def _tops(spark, folder) -> DataFrame:
+    """The hosts of all cores, found once per application and state of the files, and kept in the shared folder."""
+    key = (spark.sparkContext.applicationId, folder, table_stamp(spark, folder, "coreproperties"))
+    if key not in _tops_of:
+        _tops_of[key] = cut(co.top_hosts(cores(spark, folder)), "tops")
+    return _tops_of[key]
+
+
 def core_top_host(spark, folder):
-    return co.top_hosts(cores(spark, folder)).select("core_tag", "snapnum", F.coalesce("top", F.lit(-1)).alias("top"))
+    return _tops(spark, folder).select("core_tag", "snapnum", F.coalesce("top", F.lit(-1)).alias("top"))
 
 
 def core_secondary_host(spark, folder):
-    return co.top_hosts(cores(spark, folder)).select("core_tag", "snapnum", F.coalesce("second", F.lit(-1)).alias("second"))
+    return _tops(spark, folder).select("core_tag", "snapnum", F.coalesce("second", F.lit(-1)).alias("second"))
 
 
 def core_group_count(spark, folder):
-    return co.top_hosts(cores(spark, folder)).where("top is not null").select("core_tag", "snapnum", F.col("n_descendants").alias("n_below"))
+    return _tops(spark, folder).where("top is not null").select("core_tag", "snapnum", F.col("n_descendants").alias("n_below"))
+
+
+def core_group_order(spark, folder):
+    """The place of each core in its group: depth first, a core before those that it hosts, these by tag."""
+    return co.group_order(_tops(spark, folder)).select("core_tag", "snapnum", "top", "place")
 
 
 def core_host_tags(spark, folder):
-    t = co.top_hosts(cores(spark, folder))
+    t = _tops(spark, folder)
     of = cores(spark, folder).select("snapnum", F.col("core_tag").alias("top"), F.col("fof_halo_tag").alias("top_fof"))
     return t.join(of, ["snapnum", "top"], "left").select("core_tag", "snapnum", F.coalesce("top_fof", F.lit(-1)).alias("top_fof"))
 
@@ -64,6 +81,12 @@ def core_matrix(spark, folder):
     return co.core_matrix(cores(spark, folder).join(final, "core_tag", "left_semi"), LAST)
 
 
+def core_matrix_chunks(spark, folder, n_chunks: int = 4):
+    """The matrix of all fields with rows of hosts, in chunks of the cores that the last snapshot has."""
+    rows = co.core_matrix_rows(cores(spark, folder), LAST, n_chunks, ["host_core", "central", "merged", "fof_halo_tag"])
+    return rows.select("chunk", "row", "core_tag", "snapnum", *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("host_core", "central", "merged", "fof_halo_tag")), "state", F.coalesce("host_row", F.lit(-1)).alias("host_row"))
+
+
 def core_rows(spark, folder):
     return cores(spark, folder).groupBy("core_tag").agg(F.count("*").alias("n_rows"), F.min("snapnum").alias("first_snap"), F.max("snapnum").alias("last_snap"))
 
@@ -97,9 +120,9 @@ def satellite_to_central(spark, folder):
 
 
 def core_union(spark, folder):
-    """Rows of satellites and of centrals, read apart and put together again, per snapshot."""
-    rows = cores(spark, folder)
-    parts = rows.where("central = 1").select("snapnum", F.lit("central").alias("part")).unionByName(rows.where("coalesce(central, 0) <> 1").select("snapnum", F.lit("satellite").alias("part")))
+    """Satellites and centrals of all files of cores, per snapshot."""
+    rows = keyed(read_files(spark, [f"{folder.rstrip('/')}/coreproperties.parquet"]), ["core_tag", "snapnum"], ["central"])
+    parts = rows.select(F.col("snapnum").cast("int").alias("snapnum"), F.when(F.col("central") == 1, "central").otherwise("satellite").alias("part"))
     return parts.groupBy("snapnum", "part").agg(F.count("*").alias("n"))
 
 
@@ -217,7 +240,7 @@ def lc_steps_output(spark, folder):
     return rows.withColumns({c: F.round(F.col(c).cast("double"), n) for c, n in rounded.items()})
 
 
-QUERIES = {f.__name__: f for f in (core_scan, core_host, core_top_host, core_secondary_host, core_group_count, core_host_tags, core_state, core_matrix, core_rows, core_lengths, core_positions, core_forest, core_orphans, core_root_order, satellite_to_central, core_union, lc_halos, lc_dedupe, lc_fragment_consistency, lc_replications, lc_step_map, lc_cores_at_step, lagrangian, lc_semi, lc_match, lc_host_core, lc_replicate, lc_angles, lc_output, lc_host_idx, lc_pipeline, lc_steps_pipeline, lc_steps_output)} | {"unique_id": unique_ids, "lc_offsets": min_image}
+QUERIES = {f.__name__: f for f in (core_scan, core_host, core_top_host, core_secondary_host, core_group_count, core_group_order, core_host_tags, core_state, core_matrix, core_matrix_chunks, core_rows, core_lengths, core_positions, core_forest, core_orphans, core_root_order, satellite_to_central, core_union, lc_halos, lc_dedupe, lc_fragment_consistency, lc_replications, lc_step_map, lc_cores_at_step, lagrangian, lc_semi, lc_match, lc_host_core, lc_replicate, lc_angles, lc_output, lc_host_idx, lc_pipeline, lc_steps_pipeline, lc_steps_output)} | {"unique_id": unique_ids, "lc_offsets": min_image}
 
 _OK = "isfinite(x) AND isfinite(y) AND isfinite(z)"
 _CORES = """WITH RECURSIVE raw AS (SELECT core_tag, CAST(snapnum AS INT) AS snapnum, max(struct_pack(t := loaded_at, h := host_core, c := central, m := merged, g := fof_halo_tag, x := CAST(x AS DOUBLE), y := CAST(y AS DOUBLE), z := CAST(z AS DOUBLE))) AS r
@@ -264,6 +287,12 @@ ORACLES = {
     "core_top_host": f"{_TOP} SELECT c.core_tag, c.snapnum, coalesce(path[1], -1) AS top FROM c LEFT JOIN tr USING (core_tag, snapnum)",
     "core_secondary_host": f"{_TOP} SELECT c.core_tag, c.snapnum, CASE WHEN len(path) >= 3 THEN path[2] ELSE -1 END AS second FROM c LEFT JOIN tr USING (core_tag, snapnum)",
     "core_group_count": f"{_TOP} SELECT core_tag, snapnum, coalesce(n, 0) AS n_below FROM tr LEFT JOIN (SELECT snapnum, core_tag, count(*) AS n FROM (SELECT snapnum, unnest(path[1:-2]) AS core_tag FROM tr) GROUP BY 1, 2) USING (core_tag, snapnum)",
+    "core_group_order": f"{_TOP} SELECT core_tag, snapnum, path[1] AS top, row_number() OVER (PARTITION BY snapnum, path[1] ORDER BY path) - 1 AS place FROM tr",
+    "core_matrix_chunks": f"""{_LINK}, f AS (SELECT core_tag, row_number() OVER (ORDER BY core_tag) - 1 AS row, count(*) OVER () AS n FROM c WHERE snapnum = {LAST}),
+g AS (SELECT *, least(row // greatest(1, n // 4), 3) AS chunk FROM f), s AS (SELECT core_tag, row, chunk, CAST(unnest(range({LAST + 1})) AS INT) AS snapnum FROM g)
+SELECT s.chunk, s.row, s.core_tag, s.snapnum, coalesce(ln.host, c.host_core, -1) AS host_core, coalesce(c.central, -1) AS central, coalesce(c.merged, -1) AS merged, coalesce(c.fof_halo_tag, -1) AS fof_halo_tag,
+  CAST(CASE WHEN c.merged = 1 THEN 2 WHEN c.central = 1 THEN 0 WHEN c.core_tag > 0 THEN 1 ELSE -1 END AS INT) AS state, coalesce(h.row, -1) AS host_row
+FROM s LEFT JOIN c USING (core_tag, snapnum) LEFT JOIN ln USING (core_tag, snapnum) LEFT JOIN g h ON h.core_tag = ln.host AND h.chunk = s.chunk""",
     "core_host_tags": f"{_TOP} SELECT c.core_tag, c.snapnum, coalesce(h.fof_halo_tag, -1) AS top_fof FROM c LEFT JOIN tr USING (core_tag, snapnum) LEFT JOIN c h ON h.snapnum = c.snapnum AND h.core_tag = tr.path[1]",
     "core_state": f"{_CORES} SELECT core_tag, snapnum, CAST(CASE WHEN merged = 1 THEN 2 WHEN central = 1 THEN 0 WHEN core_tag > 0 THEN 1 ELSE -1 END AS INT) AS state FROM c",
     "core_matrix": f"{_CORES}, f AS (SELECT core_tag FROM c WHERE snapnum = {LAST}) SELECT f.core_tag, CAST(s AS INT) AS snapnum, CAST(CASE WHEN merged = 1 THEN 2 WHEN central = 1 THEN 0 WHEN c.core_tag > 0 THEN 1 ELSE -1 END AS INT) AS state, CAST(c.core_tag IS NOT NULL AS INT) AS present FROM (SELECT core_tag, unnest(range({LAST + 1})) AS s FROM f) f LEFT JOIN c ON c.core_tag = f.core_tag AND c.snapnum = s",

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,9 @@ from arbor.functions import geometry
 from arbor.functions.derived import DERIVED, derived_field, with_derived
 from arbor.functions.simulation import SIMULATIONS, Simulation
 from arbor.operators import cores, forest, lightcone
+from arbor.operators.prefix import running_place
 from arbor.sources import configs, sinks
+from arbor.sources.tables import read_files, table_stamp
 
 
 def _catalog(spark):
@@ -95,3 +98,70 @@ def test_cosmology():
     w = SIMULATIONS["DiscoveryW0WA"].cosmo
     assert abs(w.lookback_time([0.5])[0] - w.lookback_time([0.5], along=True)[0]) > 1e-3
     assert SIMULATIONS["LastJourney"].particle_mass() == pytest.approx(2.717e9, rel=1e-2)
+
+
+def test_derived_values(spark):
+    """Offsets in units of the radius, across the edge of the box, and the value that stands for no mass."""
+    centers = ["fof_halo_mean", "fof_halo_center", "sod_halo_mean", "sod_halo_min_pot"]
+    names = [f"{c}_{x}" for c in centers for x in "xyz"] + ["sod_halo_radius", "sod_halo_mass"]
+    rows = [
+        (1.0, 2.0, 2.0, 0.0, 0.0, 0.0, 1.0, 2.0, 0.0, 1.0, 2.0, 0.5, 0.5, 10.0),
+        (63.0, 1.0, 1.0, 1.0, 1.0, 1.0, 63.0, 1.0, 33.5, 63.0, 1.0, 1.0, 2.0, 10.0),
+        (1.0, 1.0, 1.0, 2.0, 2.0, 2.0, 3.0, 3.0, 3.0, 4.0, 4.0, 4.0, 1.0, -1.0),
+    ]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    got = [(r.xoff_fof, r.xoff_sod, r.xoff_com) for r in with_derived(df, ["xoff_fof", "xoff_sod", "xoff_com"], 64).collect()]
+    # fof: mean to center; sod: mean to least potential; com: the two means
+    assert got[0] == pytest.approx((6.0, 1.0, 4.0))
+    assert got[1] == pytest.approx((1.0, 31.5 / 2, 31.5 / 2))
+    assert got[2] == (-101.0, -101.0, -101.0)
+
+
+def test_pipelines_take_records(spark, tmp_path):
+    """Keys delivered again count once, by their latest row, in forests and core forests."""
+    c = _catalog(spark).withColumn("loaded_at", F.to_timestamp(F.lit("2024-01-01")))
+    older = c.where("tree_node_index % 3 = 0").withColumns({"tree_node_mass": F.lit(1e9), "loaded_at": F.to_timestamp(F.lit("2023-01-01"))})
+    c.unionByName(older).unionByName(c).write.parquet(str(tmp_path / "cat"))
+    (tmp_path / "a.cfg").write_text('[simulation]\nsimulation = AlphaQ\n[input]\ntreenodes_base_path = cat\n[output]\noutput_file = out\n[columns.forest]\ncopy_fields = ["extra"]\n')
+    cli.convert(spark, str(tmp_path / "a.cfg"))
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert len(rows) == 63 and max(r.mass for r in rows) < 1e9 and {r.idx for r in rows} == set(range(63))
+    times = [(1, 98, 5.0, "2024-01-01"), (1, 98, 7.0, "2024-02-01"), (1, 97, 1.0, "2024-01-01"), (1, 97, 1.0, "2024-01-01"), (2, 98, 3.0, "2024-01-01")]
+    spark.createDataFrame(times, "core_tag long, snapnum int, x double, loaded_at string").withColumn("loaded_at", F.to_timestamp("loaded_at")).write.parquet(str(tmp_path / "in"))
+    (tmp_path / "c.toml").write_text('simulation = "AlphaQ"\ncoreproperties_base = "in"\noutput_base = "cores"\ninclude_fields = ["x"]\n')
+    cli.reorganize(spark, str(tmp_path / "c.toml"), 2)
+    assert sorted((r.core_tag, r.snapnum, r.place, r.x) for r in spark.read.parquet(str(tmp_path / "cores")).collect()) == [(1, 97, 1, 1.0), (1, 98, 0, 7.0), (2, 98, 0, 3.0)]
+
+
+def test_several_files(spark, tmp_path):
+    spark.createDataFrame([(1, 2)], "a long, b long").coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.createDataFrame([(3,), (4,)], "a long").coalesce(1).write.parquet(str(tmp_path / "two"))
+    rows = read_files(spark, [str(tmp_path / "one"), str(tmp_path / "two")])
+    assert sorted((r.a, r.b or 0, r.file) for r in rows.collect()) == [(1, 2, 0), (3, 0, 1), (4, 0, 1)]
+    assert rows.select("file", "file_name").distinct().count() == 2
+    before = table_stamp(spark, str(tmp_path), "t") if (tmp_path / "t.parquet").exists() else None
+    spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
+    first = table_stamp(spark, str(tmp_path), "t")
+    spark.range(9).write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+    assert before != first != table_stamp(spark, str(tmp_path), "t")
+    with pytest.raises(ValueError):
+        read_files(spark, [])
+
+
+def test_group_order_and_matrix_rows(spark):
+    rows = [(1, 1, 0, 1, 0), (1, 2, 1, 0, 0), (1, 3, 2, 0, 0), (1, 4, 1, 0, 0), (1, 5, 2, 0, 0), (1, 9, 8, 0, 0), (1, 8, 9, 0, 0), (0, 1, 0, 1, 0), (1, 7, 70, 0, 1)]
+    df = spark.createDataFrame(rows, "snapnum int, core_tag long, host_core long, central int, merged int")
+    placed = {(r.snapnum, r.core_tag): (r.top, r.place) for r in cores.group_order(cores.top_hosts(df)).collect()}
+    assert placed == {(1, 1): (1, 0), (1, 2): (1, 1), (1, 3): (1, 2), (1, 5): (1, 3), (1, 4): (1, 4), (0, 1): (1, 0), (1, 7): (7, 0)}
+    cells = {(r.core_tag, r.snapnum): r for r in cores.core_matrix_rows(df, 1, 2, ["host_core", "merged"]).collect()}
+    assert len(cells) == 16 and {r.chunk for r in cells.values()} == {0, 1}
+    assert cells[3, 1].host_row == cells[2, 1].row == 1 and cells[1, 1].host_core == 1 and cells[1, 1].host_row == 0
+    assert cells[5, 1].chunk == 1 and cells[5, 1].host_row is None and cells[5, 0].state == -1 and cells[5, 0].merged is None
+    assert cores.group_order(cores.top_hosts(df.limit(0))).count() == 0 and cores.core_matrix_rows(df.limit(0), 1).count() == 0
+
+
+def test_running_place_of_sparse_keys(spark):
+    rng = random.Random(3)
+    keys = sorted({rng.choice([rng.randrange(50), rng.randrange(2**30), rng.randrange(2**62)]) for _ in range(500)})
+    got = {r.k: r.p for r in running_place(spark.createDataFrame([(k,) for k in keys], "k long").repartition(5), "k", "p").collect()}
+    assert got == {k: i for i, k in enumerate(keys)}
