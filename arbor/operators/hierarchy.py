@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..plans.cut import Parts, active, cut, split, split_by, stored
+from ..plans.ship import ship
 from .skew import hot_keys, join_hot
 
 KEY = ["scope", "id"]
@@ -335,6 +336,7 @@ def resolve(links: DataFrame, chained: bool = True, tail: int = TAIL) -> Peeled:
     """The peeled hierarchy of links (scope, id, parent and, if wanted, weight and a note of any type, which comes out with the
     node): one row per node, parent null for a root. An empty table gives an empty hierarchy; the caller drops rows
     whose id is null. With `chained` many levels are peeled in a round, else one."""
+    ship(links.sparkSession)
     links = links.withColumn("scope", F.col("scope").cast("int"))
     kids, seen = cut(pick_heirs(links), "kids", n=F.sum("kids"))
     hot = hot_keys(kids, "parent", "kids", seen["n"])
