@@ -288,6 +288,23 @@ def test_lines_garbled_in_part(model):
         assert got.affected and got.text == "clean line\n" + want, got
 
 
+def test_gates_lose_nothing(model):
+    """With all gates open the same held-out lines, clean and garbled, whole and in part, once and twice, are found and read the same."""
+    rng, found = random.Random(12), 0
+    for n in range(240):
+        lang, right, wrong = rng.choice(CHAINS)
+        line = _line(rng, lang)
+        words = line.split(" ")
+        k = rng.randrange(len(words))
+        for _ in range(1 + n % 2):
+            words[k:] = [" ".join(words[k:]).encode(right, "ignore").decode(wrong, "ignore")]
+        text = "clean line\n" + (line if n % 3 == 0 else " ".join(words))
+        a, b = mojibake.repair(text, model), mojibake.repair(text, model, every=True)
+        assert (a.text, a.affected) == (b.text, b.affected), (text, a, b)
+        found += a.affected
+    assert found > 80
+
+
 def test_clean_lines_have_no_passages(model):
     rng = random.Random(7)
     for _ in range(300):
