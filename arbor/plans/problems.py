@@ -66,8 +66,9 @@ def p4_sizes(spark: SparkSession, folder: str, share: float = 0.01) -> DataFrame
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Parent tags of more than 1 % of all rows of forest."""
-    n = read_table(spark, folder, FOREST).count()
-    return p4_tags(spark, folder).where(F.col("fof_tag").isNotNull() & (F.col("n_rows") * 100 > n)).select("fof_tag")
+    tags = cut(p4_tags(spark, folder), "tags")
+    n = tags.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+    return tags.where(F.col("fof_tag").isNotNull() & (F.col("n_rows") * 100 > n)).select("fof_tag")
 
 
 def links(spark: SparkSession, folder: str) -> DataFrame:
