@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from ..plans.cut import cut
 from .hierarchy import chain_steps, hand_down, resolve
-from .prefix import exclusive_sum, falling_bin, running_place
+from .prefix import exclusive_sum, falling_bin, running_max, running_place
 
 
 @dataclass
@@ -133,6 +133,22 @@ def pruned(forest: Forest, threshold: float) -> DataFrame:
     return kept.join(own, "id").join(hung, "id", "left").select("id", "desc", "snapnum", "mass", "root", (F.col("own") + 1 + F.coalesce("hung", F.lit(0))).alias("size"))
 
 
+def above_mass(nodes: DataFrame, threshold: float) -> DataFrame:
+    """What `pruned` keeps, of nodes alone as forest files hold them, with all their columns: `size` is that of what is kept,
+    and `idx` their place among it.
+
+    A halo is cut if it lies in the subtree of one below the threshold, that is, if one at or before its place has a
+    subtree that reaches beyond it; new sizes are differences of running counts of kept halos."""
+    low, bins = F.when(~(F.col("mass") > threshold), F.col("idx") + F.col("size")), [F.shiftright("idx", 12)]
+    reach = running_max(nodes, ["root"], bins[0], F.col("idx"), low, "__reach")
+    marked = reach.withColumn("__kept", (~F.coalesce(F.col("__reach") > F.col("idx"), F.lit(False))).cast("long"))
+    counted = cut(exclusive_sum(marked, ["root"], bins, [F.col("idx")], F.col("__kept"), "__before"), "above")
+    ends = counted.select("root", F.col("idx").alias("__end"), F.col("__before").alias("__upto"))
+    whole = counted.groupBy("root").agg(F.sum("__kept").alias("__all"))
+    kept = counted.where("__kept = 1").withColumn("__end", F.col("idx") + F.col("size")).join(ends, ["root", "__end"], "left").join(whole, "root")
+    return kept.withColumns({"size": F.coalesce("__upto", "__all") - F.col("__before"), "idx": F.col("__before")}).select(*nodes.columns)
+
+
 def infall_histogram(forest: Forest, targets: DataFrame, low: float, high: float, bins: int, log: bool = True) -> DataFrame:
     """bin (from 0), n: masses of the halos that merge onto the main branches of `targets` (id), in equal bins of the
     mass or its logarithm from low to high, the upper edge excluded; bins without halos have n = 0."""

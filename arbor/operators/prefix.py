@@ -30,6 +30,18 @@ def exclusive_sum(df: DataFrame, by: list[str], bins: list[Column], order: list[
     return placed.select(*df.columns, (F.col("__start") + F.col("__within")).alias(name))
 
 
+def running_max(df: DataFrame, by: list[str], bins: Column, order: Column, value: Column, name: str) -> DataFrame:
+    """`df` with `name`: the greatest `value` of the rows of the same `by` up to and with this one, in the order of `bins`,
+    then `order`; null if all are null. In the two levels of `exclusive_sum`."""
+    rows = df.select("*", bins.alias("__bin"), value.alias("__value"))
+    tops = rows.groupBy(*by, "__bin").agg(F.max("__value").alias("__most"))
+    before = Window.partitionBy(*by).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    starts = tops.select(*by, "__bin", F.max("__most").over(before).alias("__start"))
+    within = Window.partitionBy(*by, "__bin").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.withColumn("__within", F.max("__value").over(within)).join(starts, [*by, "__bin"])
+    return placed.select(*df.columns, F.greatest("__start", "__within").alias(name))
+
+
 def running_place(df: DataFrame, key: str, name: str) -> DataFrame:
     """`df` with `name`: the place of each row, from 0, in the order of the whole-number `key`, which tells rows apart, however
     sparse it is: bins of 2^12 keys, 2^16 of these in a coarser bin, and so again."""

@@ -289,6 +289,11 @@ def mass_prune_size(spark, folder):
     return fo.pruned(built(spark, folder), 1e11).select("id", "size")
 
 
+def forest_above_mass(spark, folder):
+    """Halos above a mass whose descendants all are, with their new places and sizes, as reading forest files by mass gives them."""
+    return fo.above_mass(_nodes(spark, folder), 1e11).select("id", "root", "idx", "size")
+
+
 def adjacency_coo(spark, folder):
     return fo.adjacency(_nodes(spark, folder), _targets(spark, folder))
 
@@ -365,7 +370,7 @@ def fsub_stats_rows(spark, folder):
 
 
 QUERIES = {
-    **{f.__name__: f for f in (forest_scan, forest_projection, forest_z0_roots, forest_chunk, forest_chunks, subtree_targets, subtree_slice, catalog_clean, quality_metrics, scale_factor, redshift, hubble, virial_overdensity, lookback, hubble_fraction, particle_count, fragment_split, xoff, min_image, copy_rename, mass_bin_targets, descendant_join, orphans_anti, orphans_to_roots, descendant_idx, progenitor_csr, csr_offsets, progenitor_count, branch_size, dfs_order, root_label, branch_ids, mainbranch, mainbranch_mass, mean_mass_growth, nth_progenitor, merger_probability, merger_rate, last_major_merger, most_massive, infall_hist, mass_prune, mass_prune_size, adjacency_coo, tree_extract, root_order, sibling_order, fragfix_const, fragfix_linear, sub_rows, sub_offsets, sub_index, sub_order)},
+    **{f.__name__: f for f in (forest_scan, forest_projection, forest_z0_roots, forest_chunk, forest_chunks, subtree_targets, subtree_slice, catalog_clean, quality_metrics, scale_factor, redshift, hubble, virial_overdensity, lookback, hubble_fraction, particle_count, fragment_split, xoff, min_image, copy_rename, mass_bin_targets, descendant_join, orphans_anti, orphans_to_roots, descendant_idx, progenitor_csr, csr_offsets, progenitor_count, branch_size, dfs_order, root_label, branch_ids, mainbranch, mainbranch_mass, mean_mass_growth, nth_progenitor, merger_probability, merger_rate, last_major_merger, most_massive, infall_hist, mass_prune, mass_prune_size, forest_above_mass, adjacency_coo, tree_extract, root_order, sibling_order, fragfix_const, fragfix_linear, sub_rows, sub_offsets, sub_index, sub_order)},
     "branch_matrix": branch_matrix_rows, "branch_hosts": branch_host_rows, "sub_hosts": sub_host_rows, "submass": submass_rows, "fsub_stats": fsub_stats_rows,
 }
 
@@ -469,6 +474,7 @@ ORACLES = {
 b AS (SELECT floor((log10(mass) - 10) / (3 / 20.0::DOUBLE)) AS bin FROM inf) SELECT CAST(s.k AS INT) AS bin, count(b.bin) AS n FROM (SELECT unnest(range(20)) AS k) s LEFT JOIN b ON b.bin = s.k GROUP BY 1""",
     "mass_prune": f"{_PRUNED} SELECT id, root FROM kept",
     "mass_prune_size": f"{_PRUNED} SELECT a AS id, count(*) AS size FROM (SELECT unnest(anc) AS a FROM kept) GROUP BY 1",
+    "forest_above_mass": f"{_PRUNED}, z AS (SELECT a AS id, count(*) AS size FROM (SELECT unnest(anc) AS a FROM kept) GROUP BY 1) SELECT id, root, row_number() OVER (PARTITION BY root ORDER BY idx) - 1 AS idx, size FROM kept JOIN z USING (id)",
     "adjacency_coo": f"{_TREE}, a AS (SELECT id, dsc, idx, mass, unnest(anc) AS target FROM nodes), b AS (SELECT a.*, a.idx - t.idx AS place FROM a JOIN nodes t ON t.id = a.target WHERE a.target IN (SELECT id FROM targets)) SELECT x.target, x.place AS i, y.place AS j, x.mass FROM b x JOIN b y ON y.target = x.target AND y.id = x.dsc",
     "tree_extract": f"{_PRUNED}, a AS (SELECT id, mass, depth, unnest(anc) AS target FROM kept) SELECT a.target, a.id, CAST(a.depth - t.depth AS INT) AS step, a.mass FROM a JOIN nodes t ON t.id = a.target WHERE a.target IN (SELECT id FROM targets) AND a.depth - t.depth <= 20",
     "root_order": f"{_TREE} SELECT id, row_number() OVER (ORDER BY id) - 1 AS place FROM nodes WHERE dsc IS NULL AND snapnum = {LAST}",

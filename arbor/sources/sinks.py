@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.forest import above_mass, chunk_of_roots
 
 #: Rows of a forest file where the number of files isn't given.
 ROWS_A_FILE = 2_000_000
@@ -23,9 +24,20 @@ def write_forest(nodes: DataFrame, path: str, n_files: int) -> None:
     nodes.repartition(n_files, "root").sortWithinPartitions("root", "idx").write.mode("errorifexists").parquet(path)
 
 
-def read_forest(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """The forest at `path`: the keys and `columns`, or all. The caller's list is left as it is."""
+def read_forest(spark: SparkSession, path: str, columns: list[str] | None = None, chunk: int | None = None, n_chunks: int = 1, threshold: float | None = None, last: int | None = None) -> DataFrame:
+    """The forest at `path`: the keys and `columns`, or all. The caller's list is left as it is. With `last` only trees whose
+    root is at that snapshot; with `chunk` (from 0) only the trees of that one of `n_chunks` chunks of as many roots, by
+    id, the last with the rest; with a mass `threshold` without halos that don't exceed it and without all below those,
+    places and sizes being those of what is left."""
     df = spark.read.parquet(path)
+    if chunk is not None and not 0 <= chunk < n_chunks:
+        raise ValueError(f"no chunk {chunk} of {n_chunks}")
+    if chunk is not None or last is not None:
+        tops = df.where("desc is null" + ("" if last is None else f" and snapnum = {int(last)}")).select("root")
+        tops = tops if chunk is None else chunk_of_roots(tops, "root", n_chunks).where(F.col("chunk") == chunk).select("root")
+        df = df.join(tops, "root", "left_semi")
+    if threshold is not None:
+        df = above_mass(df, threshold)
     return df if columns is None else df.select(*dict.fromkeys(["id", "desc", "snapnum", "root", "idx", "size", *columns]))
 
 

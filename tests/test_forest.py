@@ -9,6 +9,7 @@ from arbor.operators import forest as fo
 from arbor.operators.fragments import fix_fragments
 from arbor.operators.matrix import branch_hosts, branch_matrix, wide
 from arbor.operators.submass import fsub_stats, sub_hosts, submass
+from arbor.sources import sinks
 
 SNAP = dict(zip(range(3, 19), (6, 5, 4, 3, 2, 1, 0, 2, 1, 0, 4, 3, 2, 1, 3, 2)))
 DESC = {3: None, 4: 3, 5: 4, 6: 5, 7: 6, 8: 7, 9: 8, 10: 6, 11: 10, 12: 11, 13: 4, 14: 13, 15: 14, 16: 15, 17: 13, 18: 17}
@@ -127,6 +128,28 @@ def test_random_forest(spark, seed):
     assert got == naive(rows)
 
 
+def test_reading_options(spark, tmp_path):
+    """Chunks hold every tree once; above a mass the same halos and sizes as `pruned` has, in their order."""
+    rng = random.Random(6)
+    last = {s: [s * 1000 + i for i in range(40)] for s in range(8)}
+    rows = [(i, rng.choice(last[s + 1]) if s < 7 and rng.random() < 0.95 else -1, s, rng.uniform(1, 6)) for s in last for i in last[s]]
+    f = fo.build(frame(spark, rows))
+    sinks.write_forest(f.nodes, str(tmp_path / "f"), 3)
+    read = lambda **k: sinks.read_forest(spark, str(tmp_path / "f"), ["mass"], **k).collect()
+    parts = [{r.id for r in read(chunk=k, n_chunks=3, last=7)} for k in range(3)]
+    late = {r.id for r in read(last=7)}
+    assert set.union(*parts) == late and sum(map(len, parts)) == len(late) < len(rows)
+    want = {r.id: r.size for r in fo.pruned(f, 2.0).collect()}
+    got = read(threshold=2.0)
+    assert {r.id: r.size for r in got} == want and 0 < len(want) < len(rows)
+    old = {r.id: (r.root, r.idx) for r in read()}
+    for root in {r.root for r in got}:
+        mine = sorted((r for r in got if r.root == root), key=lambda r: r.idx)
+        assert [r.idx for r in mine] == list(range(len(mine))) and [old[r.id][1] for r in mine] == sorted(old[r.id][1] for r in mine)
+    with pytest.raises(ValueError):
+        read(chunk=3, n_chunks=3)
+
+
 def test_empty_forest(spark):
     f = fo.build(frame(spark, []))
     assert f.nodes.count() == 0 and f.branches.count() == 0
