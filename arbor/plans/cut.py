@@ -43,7 +43,7 @@ def _hadoop(spark: SparkSession, folder: str) -> tuple:
 
 
 def _write(df: DataFrame, name: str, by: str | None, counts: dict) -> tuple[str, dict]:
-    path = f"{app_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = fresh(df.sparkSession, name)
     seen = Observation() if counts else None
     if seen:
         df = df.observe(seen, *(c.alias(k) for k, c in counts.items()))
@@ -51,6 +51,11 @@ def _write(df: DataFrame, name: str, by: str | None, counts: dict) -> tuple[str,
     return path, {k: v or 0 for k, v in seen.get.items()} if seen else {}
 
 
+def fresh(spark: SparkSession, name: str) -> str:
+    """A path in the application's folder that nothing has been written to."""
+    return f"{app_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def cut(df: DataFrame, name: str = "table", **counts) -> DataFrame | tuple[DataFrame, dict]:
     """`df` written to the shared folder and read again, so that later plans start there and a lost executor costs
     no recomputation. `counts` are aggregate columns gathered during the write; with them the result is a pair."""

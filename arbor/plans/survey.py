@@ -14,7 +14,9 @@ from ..operators.fragments import fix_fragments
 from ..operators.matrix import branch_hosts, branch_matrix
 from ..operators.records import keyed
 from ..operators.submass import fsub_stats, sub_hosts, submass
+from ..sources.sinks import files_for, read_forest, write_forest
 from ..sources.tables import read_table, table_stamp
+from .cut import fresh
 
 SIM, BOX, LAST = SIMULATIONS["LastJourney"], 512.0, 100
 LOW, HIGH = 1e12, 1e13
@@ -60,6 +62,13 @@ def forest_scan(spark, folder):
     return _nodes(spark, folder).join(fo.progenitor_count(_nodes(spark, folder)), "id").select("id", F.coalesce("desc", F.lit(-1)).alias("desc"), "snapnum", "mass", "root", "idx", "size", "progenitor_count", F.round(a, 9).alias("scale_factor"))
 
 
+def forest_files(spark, folder):
+    """The forest written as closed files, in which no tree is split, and read again."""
+    path, nodes = fresh(spark, "files"), _nodes(spark, folder)
+    write_forest(nodes, path, max(2, files_for(nodes)))
+    return read_forest(spark, path, ["depth"]).select("id", F.coalesce("desc", F.lit(-1)).alias("desc"), "snapnum", "root", "idx", "size", "depth")
+
+
 def forest_projection(spark, folder):
     return _nodes(spark, folder).select("id", F.coalesce("desc", F.lit(-1)).alias("desc"), "snapnum", "size")
 
@@ -370,7 +379,7 @@ def fsub_stats_rows(spark, folder):
 
 
 QUERIES = {
-    **{f.__name__: f for f in (forest_scan, forest_projection, forest_z0_roots, forest_chunk, forest_chunks, subtree_targets, subtree_slice, catalog_clean, quality_metrics, scale_factor, redshift, hubble, virial_overdensity, lookback, hubble_fraction, particle_count, fragment_split, xoff, min_image, copy_rename, mass_bin_targets, descendant_join, orphans_anti, orphans_to_roots, descendant_idx, progenitor_csr, csr_offsets, progenitor_count, branch_size, dfs_order, root_label, branch_ids, mainbranch, mainbranch_mass, mean_mass_growth, nth_progenitor, merger_probability, merger_rate, last_major_merger, most_massive, infall_hist, mass_prune, mass_prune_size, forest_above_mass, adjacency_coo, tree_extract, root_order, sibling_order, fragfix_const, fragfix_linear, sub_rows, sub_offsets, sub_index, sub_order)},
+    **{f.__name__: f for f in (forest_scan, forest_files, forest_projection, forest_z0_roots, forest_chunk, forest_chunks, subtree_targets, subtree_slice, catalog_clean, quality_metrics, scale_factor, redshift, hubble, virial_overdensity, lookback, hubble_fraction, particle_count, fragment_split, xoff, min_image, copy_rename, mass_bin_targets, descendant_join, orphans_anti, orphans_to_roots, descendant_idx, progenitor_csr, csr_offsets, progenitor_count, branch_size, dfs_order, root_label, branch_ids, mainbranch, mainbranch_mass, mean_mass_growth, nth_progenitor, merger_probability, merger_rate, last_major_merger, most_massive, infall_hist, mass_prune, mass_prune_size, forest_above_mass, adjacency_coo, tree_extract, root_order, sibling_order, fragfix_const, fragfix_linear, sub_rows, sub_offsets, sub_index, sub_order)},
     "branch_matrix": branch_matrix_rows, "branch_hosts": branch_host_rows, "sub_hosts": sub_host_rows, "submass": submass_rows, "fsub_stats": fsub_stats_rows,
 }
 
@@ -427,6 +436,7 @@ p AS (SELECT a.id, a.sr, a.sm, {_MI.format('(b.x - a.x)')} AS dx, {_MI.format('(
 
 ORACLES = {
     "forest_scan": f"{_TREE} SELECT id, coalesce(dsc, -1) AS desc, snapnum, mass, root, idx, size, progenitor_count, round({_A.format(_STEP)}, 9) AS scale_factor FROM nodes JOIN sizes USING (id) JOIN cnt USING (id)",
+    "forest_files": f"{_TREE} SELECT id, coalesce(dsc, -1) AS desc, snapnum, root, idx, size, depth FROM nodes JOIN sizes USING (id)",
     "forest_projection": f"{_TREE} SELECT id, coalesce(dsc, -1) AS desc, snapnum, size FROM nodes JOIN sizes USING (id)",
     "forest_z0_roots": f"{_TREE} SELECT id, root, idx FROM nodes WHERE root IN (SELECT id FROM nodes WHERE dsc IS NULL AND snapnum = {LAST})",
     "forest_chunks": f"{_TREE}, o AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS k, count(*) OVER () AS n FROM nodes WHERE dsc IS NULL AND snapnum = {LAST}) SELECT least(k // greatest(1, n // 5), 4) AS chunk, nodes.id, root, idx FROM nodes JOIN o ON o.id = root",

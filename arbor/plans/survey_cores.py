@@ -11,8 +11,9 @@ from ..operators import cores as co
 from ..operators import lightcone as lc
 from ..operators.prefix import exclusive_sum
 from ..operators.records import keyed
+from ..sources.sinks import write_cores, write_lightcone
 from ..sources.tables import read_files, read_table, table_stamp
-from .cut import cut
+from .cut import cut, fresh
 
 BOX, LAST, AT, GRID = 512.0, 100, 90, 10752
 
@@ -104,6 +105,13 @@ def core_forest(spark, folder):
     return rows.select("core_tag", "snapnum", "place", F.coalesce("host", F.lit(-1)).alias("host"), F.coalesce("central", F.lit(0)).alias("central"))
 
 
+def core_files(spark, folder):
+    """The core forest written to files, all snapshots of a core in one, and read again."""
+    path, rows = fresh(spark, "files"), co.core_forest(cores(spark, folder), LAST)
+    write_cores(rows, path, 4)
+    return spark.read.parquet(path).select("core_tag", "snapnum", "place")
+
+
 def core_orphans(spark, folder):
     return co.orphan_cores(cores(spark, folder), LAST)
 
@@ -233,6 +241,15 @@ def lc_steps_pipeline(spark, folder):
     return rows.select("step", "snapnum", "core_tag", "replication", "tag", "halo_core", "own_fragment", *(F.round(f"p{c}", 4).alias(f"p{c}") for c in "xyz"), *(F.round(c, 6).alias(c) for c in ("theta", "phi", "host_theta", "host_phi")))
 
 
+def lc_extents(spark, folder):
+    """The extent of each cell of the sky that a written lightcone of all steps has, step by step."""
+    path = fresh(spark, "lightcone")
+    write_lightcone(_of_steps(spark, folder), path)
+    rows = spark.read.parquet(f"{path}/extent")
+    angles = [f"{m}_host_{c}" for c in ("theta", "phi") for m in ("min", "max")]
+    return rows.select("step", "cell", *(F.round(c, 6).alias(c) for c in angles), "n_cores")
+
+
 def lc_steps_output(spark, folder):
     """The same with all fields that are written, both hosts among them."""
     rows = lc.output(_of_steps(spark, folder, INFALL), cores(spark, folder), lc.SHELL, INFALL)
@@ -240,7 +257,7 @@ def lc_steps_output(spark, folder):
     return rows.withColumns({c: F.round(F.col(c).cast("double"), n) for c, n in rounded.items()})
 
 
-QUERIES = {f.__name__: f for f in (core_scan, core_host, core_top_host, core_secondary_host, core_group_count, core_group_order, core_host_tags, core_state, core_matrix, core_matrix_chunks, core_rows, core_lengths, core_positions, core_forest, core_orphans, core_root_order, satellite_to_central, core_union, lc_halos, lc_dedupe, lc_fragment_consistency, lc_replications, lc_step_map, lc_cores_at_step, lagrangian, lc_semi, lc_match, lc_host_core, lc_replicate, lc_angles, lc_output, lc_host_idx, lc_pipeline, lc_steps_pipeline, lc_steps_output)} | {"unique_id": unique_ids, "lc_offsets": min_image}
+QUERIES = {f.__name__: f for f in (core_scan, core_host, core_top_host, core_secondary_host, core_group_count, core_group_order, core_host_tags, core_state, core_matrix, core_matrix_chunks, core_rows, core_lengths, core_positions, core_forest, core_files, core_orphans, core_root_order, satellite_to_central, core_union, lc_halos, lc_dedupe, lc_fragment_consistency, lc_replications, lc_step_map, lc_cores_at_step, lagrangian, lc_semi, lc_match, lc_host_core, lc_replicate, lc_angles, lc_output, lc_host_idx, lc_pipeline, lc_steps_pipeline, lc_steps_output, lc_extents)} | {"unique_id": unique_ids, "lc_offsets": min_image}
 
 _OK = "isfinite(x) AND isfinite(y) AND isfinite(z)"
 _CORES = """WITH RECURSIVE raw AS (SELECT core_tag, CAST(snapnum AS INT) AS snapnum, max(struct_pack(t := loaded_at, h := host_core, c := central, m := merged, g := fof_halo_tag, x := CAST(x AS DOUBLE), y := CAST(y AS DOUBLE), z := CAST(z AS DOUBLE))) AS r
@@ -299,6 +316,7 @@ FROM s LEFT JOIN c USING (core_tag, snapnum) LEFT JOIN ln USING (core_tag, snapn
     "core_rows": f"{_CORES} SELECT core_tag, count(*) AS n_rows, min(snapnum) AS first_snap, max(snapnum) AS last_snap FROM c GROUP BY 1",
     "core_lengths": f"{_RUN} SELECT core_tag, count(*) AS length FROM run GROUP BY 1",
     "core_positions": f"{_RUN} SELECT core_tag, snapnum, CAST(place AS INT) AS place FROM run",
+    "core_files": f"{_RUN} SELECT core_tag, snapnum, CAST(place AS INT) AS place FROM run",
     "core_forest": f"{_LINK.replace('WITH RECURSIVE', 'WITH RECURSIVE', 1)}, {_RUN.removeprefix(_CORES).lstrip(', ')} SELECT core_tag, snapnum, CAST(place AS INT) AS place, coalesce(host, -1) AS host, coalesce(central, 0) AS central FROM run JOIN ln USING (core_tag, snapnum)",
     "core_orphans": f"{_CORES} SELECT core_tag, count(*) AS n_rows, max(snapnum) AS last_seen FROM c GROUP BY 1 HAVING max(snapnum) < {LAST}",
     "core_root_order": f"{_CORES} SELECT fof_halo_tag, core_tag, row_number() OVER (PARTITION BY fof_halo_tag ORDER BY coalesce(central, 0) <> 1, core_tag) - 1 AS place FROM c WHERE snapnum = {LAST} AND fof_halo_tag IS NOT NULL",
@@ -322,5 +340,6 @@ FROM s LEFT JOIN c USING (core_tag, snapnum) LEFT JOIN ln USING (core_tag, snapn
     "lc_host_idx": f"{_TOP}, {_OFF.removeprefix(_CORES).lstrip(', ')} SELECT r.core_tag, r.replication, coalesce(b.core_tag, -1) AS top FROM rep r LEFT JOIN tr ON tr.snapnum = {AT} AND tr.core_tag = r.core_tag LEFT JOIN rep b ON b.replication = r.replication AND b.core_tag = tr.path[1]",
     "lc_pipeline": f"{_OFF} SELECT replication, count(*) AS n_cores, count(DISTINCT tag) AS n_halos, count(*) FILTER (own_fragment) AS n_own FROM rep GROUP BY 1",
     "lc_steps_output": f"{_STEPS_TOP}, {_STEPS} SELECT r.step, r.snapnum, r.core_tag, r.replication, r.central, {_ANG.format('px', 'py', 'pz', '')}, round(px, 4) AS x, round(py, 4) AS y, round(pz, 4) AS z, r.signed AS fof_halo_tag, round(CAST(a AS DOUBLE), 6) AS scale_factor, round(hx, 6) AS lc_halo_x, round(hy, 6) AS lc_halo_y, round(hz, 6) AS lc_halo_z, {_ANG.format('hx', 'hy', 'hz', 'lc_halo_')}, r.tag AS lc_halo_foftag, r.id AS lc_fof_halo_tag, r.signed <> r.id AS lc_fof_halo_flag, coalesce(t.top, -1) AS top_host_tag, coalesce(t.second, -1) AS secondary_top_host_tag, CASE WHEN b1.k IS NULL THEN -1 ELSE t.top END AS top_host_idx, CASE WHEN b2.k IS NULL THEN -1 ELSE t.second END AS secondary_top_host_idx, {', '.join(f'round({c}, 6) AS {c}' for c in INFALL)} FROM rep r LEFT JOIN (SELECT snapnum AS s, core_tag AS k, path[1] AS top, CASE WHEN len(path) >= 3 THEN path[2] END AS second FROM tr) t ON t.s = r.snapnum AND t.k = r.core_tag LEFT JOIN (SELECT snapnum AS s, replication AS p, core_tag AS k FROM rep) b1 ON b1.s = r.snapnum AND b1.p = r.replication AND b1.k = t.top LEFT JOIN (SELECT snapnum AS s, replication AS p, core_tag AS k FROM rep) b2 ON b2.s = r.snapnum AND b2.p = r.replication AND b2.k = t.second",
+    "lc_extents": f"{_CORES}, {_STEPS}, an AS (SELECT step, acos(hz / sqrt(hx * hx + hy * hy + hz * hz)) AS t, (atan2(hy, hx) + pi()) % (2 * pi()) AS p FROM rep) SELECT step, CAST(floor(p * 64 / (2 * pi())) * 64 + floor(t * 64 / pi()) AS INT) AS cell, round(min(t), 6) AS min_host_theta, round(max(t), 6) AS max_host_theta, round(min(p), 6) AS min_host_phi, round(max(p), 6) AS max_host_phi, count(*) AS n_cores FROM an GROUP BY 1, 2",
     "lc_steps_pipeline": f"{_CORES}, {_STEPS} SELECT step, snapnum, core_tag, replication, tag, halo_core, signed = id AS own_fragment, round(px, 4) AS px, round(py, 4) AS py, round(pz, 4) AS pz, {_ANG.format('px', 'py', 'pz', '')}, {_ANG.format('hx', 'hy', 'hz', 'host_')} FROM rep",
 }
