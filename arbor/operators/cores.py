@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..plans.cut import cut
+from ..plans.cut import cut, drop
 from .forest import chunk_of_roots
 from .hierarchy import hierarchy, resolve
 from .prefix import exclusive_sum
@@ -30,7 +30,9 @@ def top_hosts(cores: DataFrame) -> DataFrame:
     hosts, and those that lead into one, have null top. Chains of hosts are labelled and peeled as in `hierarchy`."""
     linked = host_links(cores).select(*KEY, "host")
     links = cut(linked.select(F.col("snapnum").alias("scope"), F.col("core_tag").alias("id"), F.when(F.col("host") != F.col("core_tag"), F.col("host")).alias("parent")), "hosts")
-    tree = hierarchy(resolve(links)).select(F.col("scope").alias("snapnum"), F.col("id").alias("core_tag"), F.col("root").alias("top"), F.when(F.col("depth") >= 2, F.element_at("path", 2)).alias("second"), "depth", "path", "n_descendants")
+    peeled = resolve(links)
+    drop(links)
+    tree = hierarchy(peeled).select(F.col("scope").alias("snapnum"), F.col("id").alias("core_tag"), F.col("root").alias("top"), F.when(F.col("depth") >= 2, F.element_at("path", 2)).alias("second"), "depth", "path", "n_descendants")
     return linked.select(*KEY).join(tree, KEY, "left")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..plans.cut import cut
+from ..plans.cut import cut, drop
 from .hierarchy import chain_steps, hand_down, resolve
 from .prefix import exclusive_sum, falling_bin, running_max, running_place
 
@@ -51,12 +51,14 @@ def build(catalog: DataFrame) -> Forest:
     catalog gives an empty forest. Links lead to the next snapshot, so there are no loops."""
     halos = cut(orphans_to_roots(catalog), "halos")
     peeled = resolve(halos.select(F.lit(-1).alias("scope"), "id", F.col("desc").alias("parent"), F.col("mass").alias("weight"), F.struct("snapnum", "mass").alias("note")))
+    drop(halos)
     chains = peeled.chains.select("scope", "chain", "parent", "pchain", "at", "length", "total", "round").join(chain_steps(peeled), ["scope", "chain"])
     head = F.col("steps")[0]["note"]
     table = cut(chains.select("*", head["snapnum"].alias("head_snap"), head["mass"].alias("head_mass")), "branches")
     merging = table.where("pchain is not null").select("chain", "pchain", "head_snap", "head_mass", "total")
     placed = exclusive_sum(merging, ["pchain"], [F.col("head_snap"), falling_bin(F.col("head_mass"))], [F.col("head_mass").desc(), F.col("chain")], F.col("total"), "gap")
     known = hand_down(peeled, table.join(placed.select("chain", "gap"), "chain", "left"), gap=True).read()
+    drop(table)
     branches = known.select(F.col("chain").alias("branch"), "root", F.col("pchain").alias("pbranch"), "at", "head_snap", "head_mass", "length", "total", "nest", "prefix")
     below = F.when(F.col("k") == 0, F.col("parent")).otherwise(F.col("s.desc"))
     steps = F.transform("steps", lambda s, i: F.struct(s["id"].alias("id"), s["note"].alias("note"), s["n_descendants"].alias("n"), F.when(i > 0, F.get("steps", i - 1)["id"]).alias("desc")))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..plans.cut import Parts, active, cut, split, split_by, stored
+from ..plans.cut import Parts, active, cut, drop, split, split_by, stored
 from ..plans.ship import ship
 from .skew import hot_keys, join_hot
 
@@ -103,10 +103,12 @@ def label_chains(links: DataFrame, heirs: DataFrame | None) -> tuple[Parts, Part
         nodes += more
         if not now["yes"]:
             opened, heads = _open_loops(below.read().join(rest.read().select(*KEY), KEY, "left_semi"))
+            below.drop()
             return nodes + opened, tops + heads
         if todo is not below:
             todo.drop()
         todo, seen = rest, now
+    below.drop()
     return nodes, tops
 
 
@@ -149,6 +151,8 @@ def peel(nodes: Parts, tops: Parts, hot: list, n: int, tail: int = TAIL) -> Peel
         leaves, more, seen = split(state, "peel", "peeled")
         if rest:
             rest.drop()
+        else:
+            drop(graph)
         rest, left = more, 0 if last else seen["no"]
         if seen["yes"] and last:
             out.tail = leaves
@@ -239,7 +243,9 @@ def hand_down(peeled: Peeled, chains: DataFrame, with_path: bool = True, gap: bo
     named = lambda found: [f"{found[k]} as {k}" for k in top]
     known: Parts | None = None
     if peeled.tail:
-        known = stored(_tail_facts(parts.pop().read(), peeled.tail.read(), named, with_path, gap), "facts")
+        last = parts.pop()
+        known = stored(_tail_facts(last.read(), peeled.tail.read(), named, with_path, gap), "facts")
+        last.drop()
     for part in reversed(parts):
         rows = part.read()
         new = rows.where("pchain is null").selectExpr(*columns, *named(top))
@@ -252,6 +258,7 @@ def hand_down(peeled: Peeled, chains: DataFrame, with_path: bool = True, gap: bo
             got, onto = rows.where("pchain is not null"), {k: f"cast(null as {new.schema[k].dataType.simpleString()})" for k in top}
         made = stored(new.unionByName(got.selectExpr(*columns, *named(onto))), "facts")
         known = made if known is None else known + made
+        part.drop()
     return known
 
 
@@ -341,4 +348,5 @@ def resolve(links: DataFrame, chained: bool = True, tail: int = TAIL) -> Peeled:
     kids, seen = cut(pick_heirs(links), "kids", n=F.sum("kids"))
     hot = hot_keys(kids, "parent", "kids", seen["n"])
     nodes, tops = label_chains(links, kids if chained else None)
+    drop(kids)
     return peel(nodes, tops, hot, seen["n"], tail)

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tags import parent_tag
-from ..operators.hierarchy import descendant_lists, hierarchy, loop_nodes, resolve
+from ..operators.hierarchy import Peeled, descendant_lists, hierarchy, loop_nodes, resolve
 from ..operators.records import keyed
 from ..operators.references import orphan_references, orphans_by_period
 from ..operators.skew import heavy_keys, salted_aggregate
 from ..sources.tables import read_table
-from .cut import cut
+from .cut import cut, drop
 
 FOREST, CORES = "forest", "coreproperties"
 #: Scope of the forest, which is one; the scope of cores is their snapshot.
@@ -81,6 +81,13 @@ def links(spark: SparkSession, folder: str) -> DataFrame:
     return cut(halos.unionByName(cores), "links")
 
 
+def _resolved(spark: SparkSession, folder: str) -> Peeled:
+    rows = links(spark, folder)
+    peeled = resolve(rows)
+    drop(rows)
+    return peeled
+
+
 def _named(df: DataFrame, *rest: str) -> DataFrame:
     """scope, id and note as origin_table, snapnum and key_id; a halo's snapshot is that of its record."""
     return df.select(F.when(F.col("scope") == ONE, FOREST).otherwise(CORES).alias("origin_table"), F.col("note").alias("snapnum"), F.col("id").alias("key_id"), *rest)
@@ -88,17 +95,17 @@ def _named(df: DataFrame, *rest: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Each key that lies on a loop."""
-    return _named(loop_nodes(resolve(links(spark, folder))))
+    return _named(loop_nodes(_resolved(spark, folder)))
 
 
 def p5_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Root, depth, path and number of descendants of each key that isn't on a loop."""
-    return _named(hierarchy(resolve(links(spark, folder)), with_note=True), "root", "depth", "path", "n_descendants")
+    return _named(hierarchy(_resolved(spark, folder), with_note=True), "root", "depth", "path", "n_descendants")
 
 
 def p5_descendants(spark: SparkSession, folder: str) -> DataFrame:
     """All descendants of each node: scope (-1: forest, else the cores' snapshot), id, descendant, distance."""
-    return descendant_lists(resolve(links(spark, folder)))
+    return descendant_lists(_resolved(spark, folder))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p4_found, p4_tags, p4_sizes, p5_found, p5_tree, p5_descendants)}
