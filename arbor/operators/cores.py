@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..plans.cut import cut, drop
 from .forest import chunk_of_roots
-from .hierarchy import hierarchy, resolve
+from .hierarchy import hierarchy, loop_nodes, resolve
 from .prefix import exclusive_sum
 from .skew import hot_keys, join_hot
 
@@ -28,12 +28,11 @@ def top_hosts(cores: DataFrame) -> DataFrame:
     """snapnum, core_tag, top, second, depth, path, n_descendants: the host of hosts of each core, reached by following hosts until one has
     none but itself, and the last core before it (null for such a core and for those right below). Cores on a loop of
     hosts, and those that lead into one, have null top. Chains of hosts are labelled and peeled as in `hierarchy`."""
-    linked = host_links(cores).select(*KEY, "host")
-    links = cut(linked.select(F.col("snapnum").alias("scope"), F.col("core_tag").alias("id"), F.when(F.col("host") != F.col("core_tag"), F.col("host")).alias("parent")), "hosts")
+    links = cut(host_links(cores).select(F.col("snapnum").alias("scope"), F.col("core_tag").alias("id"), F.when(F.col("host") != F.col("core_tag"), F.col("host")).alias("parent")), "hosts")
     peeled = resolve(links)
     drop(links)
     tree = hierarchy(peeled).select(F.col("scope").alias("snapnum"), F.col("id").alias("core_tag"), F.col("root").alias("top"), F.when(F.col("depth") >= 2, F.element_at("path", 2)).alias("second"), "depth", "path", "n_descendants")
-    return linked.select(*KEY).join(tree, KEY, "left")
+    return tree.unionByName(loop_nodes(peeled).select(F.col("scope").alias("snapnum"), F.col("id").alias("core_tag")), allowMissingColumns=True)
 
 
 def group_order(tops: DataFrame) -> DataFrame:
