@@ -406,8 +406,7 @@ def _learn(keys: list[tuple[str, bool]], model: Model) -> None:
     model.pieces.update((k, start + i) for i, k in enumerate(keys))
     while len(model.rare) < len(model.pieces):
         model.gains, model.likelier, model.rare = (np.concatenate([a, np.zeros_like(a)]) for a in (model.gains, model.likelier, model.rare))
-    gains = model.gains[start : len(model.pieces)]
-    gains[:] = 0
+    gains = np.zeros((COLUMNS, len(keys)), np.float32).T  # filled by column
     x = _points("\n" + "\n".join(texts) + "\n")
     breaks = np.flatnonzero(x == 10)
     own = _sums(x, model)
@@ -447,28 +446,27 @@ def _learn(keys: list[tuple[str, bool]], model: Model) -> None:
         if not len(rows):
             continue
         raw = _encode("\n".join([texts[k] for k in rows]), wrong)
+        b = np.frombuffer(b"\n" + raw + b"\n", np.uint8).astype(np.int32)
+        steps, at, raws = b[:-1] * 256 + b[1:], np.flatnonzero(b == 10), raw.split(b"\n")
         if i < N:
-            raw = b"\n" + raw + b"\n"
-            b = np.frombuffer(raw, np.uint8).astype(np.int32)
-            steps, at = b[:-1] * 256 + b[1:], np.flatnonzero(b == 10)
             for j, table in enumerate(model.byte_steps()):
                 if j != i:
                     g = np.add.reduceat(table[steps].astype(np.float64), at[:-1]) - own[rows]
                     gains[rows, i * N + j] = np.where(np.abs(g) < 1e-7, 0, g)
-            first = np.flatnonzero((b[1:] > 127) & (b[:-1] < 128)) + 1
-            raws, of, first = raw[1:-1].split(b"\n"), np.searchsorted(at, first) - 1, steps[first]
-            for j, right in enumerate(DOUBLE):
+        else:
+            read(rows, raw, "utf-8", EAST_UTF8 + i - N)
+        first = np.flatnonzero((b[1:] > 127) & (b[:-1] < 128)) + 1
+        of, first = np.searchsorted(at, first) - 1, steps[first]
+        for j, right in enumerate(DOUBLE):
+            if j != i - N:
+                column = TO_DOUBLE + i * D + j if i < N else EAST_DOUBLE + (i - N) * D + j
                 can = np.ones(len(rows), bool)
                 can[of[~BEGINS[right][first]]] = False
-                gains[rows[~can], TO_DOUBLE + i * D + j] = -np.inf
+                gains[rows[~can], column] = -np.inf
                 if can.any():
-                    read(rows[can], b"\n".join([raws[k] for k in np.flatnonzero(can).tolist()]), right, TO_DOUBLE + i * D + j)
-        else:
-            read(rows, raw, "utf-8", EAST_UTF8 + i - N)
-            for j, right in enumerate(DOUBLE):
-                if j != i - N:
-                    read(rows, raw, right, EAST_DOUBLE + (i - N) * D + j)
-    other = [(k, column, text) for k in np.flatnonzero(utf8 | within).tolist() for column, text in _loose(texts[k], int(utf8[k]), int(within[k]), model)]
+                    read(rows[can], b"\n".join([raws[k] for k in np.flatnonzero(can).tolist()]), right, column)
+    held: dict[bytes, list[tuple[int, str]]] = {}
+    other = [(k, column, text) for k in np.flatnonzero(utf8 | within).tolist() for column, text in _loose(texts[k], int(utf8[k]), int(within[k]), held, model)]
     mixed = {k: runs for k in np.flatnonzero(east & (fits >> N != (1 << D) - 1)).tolist() if len(runs := HIGH.findall(texts[k])) > 1}
     every = list(dict.fromkeys(r for runs in mixed.values() for r in runs))
     z = _points("\n".join([*every, ""]))
@@ -483,18 +481,23 @@ def _learn(keys: list[tuple[str, bool]], model: Model) -> None:
                     gains[k, EAST_UTF8 + i] = lost * gone - own[k]
                 else:
                     other.append((k, EAST_UTF8 + i, text))
-    for (k, column, _), score in zip(other, model.scores([t for _, _, t in other]).tolist() if other else []):
-        gains[k, column] = gains[k, column] + max(score - own[k], 0) if PARTS <= column < EAST_UTF8 else score - own[k]
+    if other:
+        k, column, read_out = zip(*other)
+        g = model.scores(read_out) - own[list(k)]
+        several = (np.array(column) >= PARTS) & (np.array(column) < EAST_UTF8)
+        np.add.at(gains, (list(k), list(column)), np.where(several, np.maximum(g, 0), g))
     for i, wrong in enumerate(WITHIN):  # pieces that fit are one stretch
         w = SINGLE.index(wrong)
         can = (fits >> w & 1).astype(bool)
         gains[can, PARTS + i * D : PARTS + i * D + D] = np.maximum(gains[can, TO_DOUBLE + w * D : TO_DOUBLE + w * D + D], 0)
+    model.gains[start : len(model.pieces)] = gains
     model.likelier[start : len(model.pieces)] = (gains > 0).any(axis=1)
 
 
-def _loose(key: str, utf8: int, within: int, model: Model) -> Iterator[tuple[int, str]]:
+def _loose(key: str, utf8: int, within: int, held: dict[bytes, list[tuple[int, str]]], model: Model) -> Iterator[tuple[int, str]]:
     """Column and text of the readings of a piece by chains that leave what they can't read, for the encodings of the bits
-    `utf8` and `within`. In PARTS a column may have several texts, one for each stretch; which of them a line takes is left open."""
+    `utf8` and `within`. In PARTS a column may have several texts, one for each stretch; which of them a line takes is left open.
+    `held` keeps the double-byte readings of stretches, which come again."""
     high = set(key) if utf8 else NONE
     for i, wrong in enumerate(SINGLE):
         if utf8 >> i & 1:
@@ -506,10 +509,11 @@ def _loose(key: str, utf8: int, within: int, model: Model) -> Iterator[tuple[int
         if within >> SINGLE.index(wrong) & 1:
             for m in WITHIN[wrong].finditer(key):
                 raw = None if m.group().isascii() else _encode(m.group(), wrong)
-                for j, right in enumerate(DOUBLE if raw else (), PARTS + i * D):
-                    text = _decode(raw, right)
-                    if text and text != m.group():
-                        yield j, key[: m.start()] + text + key[m.end() :]
+                if raw and raw not in held:
+                    held[raw] = [(j, text) for j, right in enumerate(DOUBLE) if (text := _decode(raw, right))]
+                for j, text in held[raw] if raw else ():
+                    if text != m.group():
+                        yield PARTS + i * D + j, key[: m.start()] + text + key[m.end() :]
 
 
 NONE: frozenset[str] = frozenset()
@@ -555,8 +559,9 @@ def _scan(lines: list[str], model: Model) -> None:
     rare = np.logical_or.reduceat(model.rare[rows], starts) & (some | east | cuts)
     said: list[tuple] = [NOTHING] * len(lines)
     if rare.any():
-        at = high[rare[of]]
-        at = np.unique(np.append(at - 1, at))
+        at = np.zeros(len(x), bool)
+        at[high[rare[of]]] = True
+        at = np.flatnonzero(at[:-1] | at[1:])
         at = at[model.steps_at(x, at) < RARE]
         by = np.searchsorted(breaks, at, side="right") - 1
         for i, k in zip(np.flatnonzero(rare).tolist(), np.split(at - breaks[by], np.searchsorted(by, np.flatnonzero(rare)[1:]))):
@@ -672,7 +677,7 @@ def likelier_passages(line: str, model: Model) -> list[tuple[int, int, str, str,
     spans = [(a, b, model.pieces.get((line[a - 1 if a else 0 : b + 2], east))) for a, b in map(re.Match.span, PIECE.finditer(line))]
     spans = [(a, b, row is None or bool(model.likelier[row])) for a, b, row in spans]
     for a, b in passages(line, model):
-        if not any(x < b and a < y and (likelier or x < a or b < y) for x, y, likelier in spans):
+        if "&#" not in line and not any(x < b and a < y and (likelier or x < a or b < y) for x, y, likelier in spans):
             continue  # whole pieces, none of which gains
         before, after = line[a - 1] if a else "\n", line[b] if b < len(line) else "\n"
         text, chain, gain = _best_within(before, line[a:b], after, model)
@@ -746,10 +751,10 @@ def _rounds(text: str, model: Model, margin: float, every: bool, brief: bool) ->
     gain, chains, close = 0.0, [], False
     while at:
         yield [lines[i] for i in at]
-        said = {} if every else {i: model.said[lines[i]] for i in at if lines[i] in model.said}
-        likely, rare = ({i for i in at if i not in said or said[i][k]} for k in (0, 1))
+        said = {} if every else {i: s for i in at if (s := model.said.get(lines[i]))}
+        likely, rare = ([i for i in sorted(at) if i not in said or said[i][k]] for k in (0, 1)) if any(said.get(i) is not NOTHING for i in at) else ([], [])
         found = {}
-        for i in sorted(likely):
+        for i in likely:
             found[i] = f = best_reading(lines[i], model, said[i][0] if i in said else None)
             if brief and f[2] > margin:
                 return Repair(text, f[2], [f[1]], lost)
@@ -761,7 +766,7 @@ def _rounds(text: str, model: Model, margin: float, every: bool, brief: bool) ->
         close |= any(f[2] > 0 for f in found.values())
         if brief and good:
             return Repair(text, sum(g[2] for g in good.values()), [c for g in good.values() for c in g[1]], lost)
-        for i in sorted(rare):
+        for i in rare:
             if i in good and not _rare("\n" + good[i][0] + "\n", model):
                 continue
             likelier = likelier_passages(lines[i], model)

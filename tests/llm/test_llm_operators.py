@@ -444,3 +444,14 @@ def test_pieces_are_those_of_the_pattern(model):
             raw = rng.randbytes(rng.randrange(2, 5))
             if raw[0] > 127 and mojibake._decode(raw, w) is not None:
                 assert mojibake.BEGINS[w][raw[0] * 256 + raw[1]], (w, raw)
+
+
+def test_passages_with_entities_do_not_depend_on_what_came_before(model):
+    """Pieces of other lines say nothing of numeric entities next to them."""
+    pairs, chars = model.pairs.astype(np.int64), model.chars.astype(np.int64)
+    mojibake.count(["a; " * 20_000], pairs, chars)
+    line, fresh = "Verfahren &#208;&#191;унктов für", mojibake.Model(pairs.astype(np.float32), chars.astype(np.float32))
+    want = mojibake.likelier_passages(line, fresh)
+    assert [p[3] for p in want] == ["entities>latin-1>utf-8"]
+    mojibake.scan(["Verfahren a;унктов für"], fresh)
+    assert mojibake.likelier_passages(line, fresh) == want
